@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import datetime
-import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,22 +34,29 @@ CSV_OPTIONS = {
 HEADER_READERS = 16
 
 
-def _bare(path: str) -> str:
-    """A path without scheme and trailing slash, to compare folders."""
-    return re.sub(r"^[A-Za-z0-9+.-]+:/+", "/", path).rstrip("/")
+def csv_glob(folder: str) -> str:
+    """The CSV files directly in ``folder``. Subfolders are neither listed nor read as
+    partitions."""
+    return f"{folder.rstrip('/')}/*.[cC][sS][vV]"
+
+
+def matching(files: DataFrame, family: SnapshotFamily) -> DataFrame:
+    """Name and path of the listed files that belong to ``family``."""
+    named = files.select(
+        "path", F.substring_index("path", "/", -1).alias("file_name"), "length", "modificationTime"
+    )
+    return named.where(F.col("file_name").rlike(family.file_pattern))
 
 
 def list_snapshots(spark: SparkSession, folder: str, family: SnapshotFamily) -> DataFrame:
     """Matching files directly in ``folder`` with their month. File contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .load(folder)
-        .select("path", "length", "modificationTime")
-        .withColumn("file_name", F.substring_index("path", "/", -1))
-    )
-    parent = F.regexp_replace(F.regexp_replace("path", r"/[^/]*$", ""), r"^[A-Za-z0-9+.-]+:/+", "/")
-    direct = files.where(parent == re.sub(r"^//+", "/", _bare(folder)))
-    return with_month(direct.where(F.col("file_name").rlike(family.file_pattern)))
+    try:
+        files = spark.read.format("binaryFile").load(csv_glob(folder))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no CSV file in {folder}") from error
+    return with_month(matching(files, family))
 
 
 def with_month(files: DataFrame) -> DataFrame:

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from panelforge.functions.dictionaries import SnapshotFamily
 from panelforge.schemas import columns
-from panelforge.sources.snapshots import resolve, silver, with_month, write_silver_by_file
+from panelforge.sources.snapshots import (
+    csv_glob,
+    matching,
+    resolve,
+    silver,
+    with_month,
+    write_silver_by_file,
+)
 
 # Columns of Spark's binaryFile source. Only names are selected; contents are pruned.
 FILES = columns(
@@ -31,27 +37,25 @@ def snapshot_stream(
     folders of exactly those files: replaying a batch after a failure changes nothing.
     The file list of one batch, at most ``files_per_batch`` names, is known to the driver.
     """
-    names = (
+    files = (
         spark.readStream.format("binaryFile")
         .schema(FILES)
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("maxFilesPerTrigger", files_per_batch)
-        .load(folder)
-        .select("path", F.substring_index("path", "/", -1).alias("file_name"))
-        .where(F.col("file_name").rlike(family.file_pattern))
+        .load(csv_glob(folder))
     )
 
     def land(batch: DataFrame, _batch_id: int) -> None:
         batch = batch.persist()
         try:
             if not batch.isEmpty():
-                files = resolve(with_month(batch), family, folder)
-                write_silver_by_file(silver(batch.sparkSession, files, family), target)
+                found = resolve(with_month(batch), family, folder)
+                write_silver_by_file(silver(batch.sparkSession, found, family), target)
         finally:
             batch.unpersist()
 
     return (
-        names.writeStream.foreachBatch(land)
+        matching(files, family)
+        .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

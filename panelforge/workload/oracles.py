@@ -10,10 +10,10 @@ panel AS (
     CASE WHEN c_mktsegment <> 'MACHINERY'
          THEN CASE WHEN c_acctbal > 0 THEN floor(c_acctbal / 50) ELSE 0.0 END END
       AS NUMBER_OF_CERTIFIED_BEDS,
-    o_totalprice / 2500.0 AS AVERAGE_NUMBER_OF_RESIDENTS_PER_DAY,
-    CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice / 97000.0 END AS HOURS,
-    CASE WHEN o_orderstatus <> 'P' THEN o_totalprice / 5100.0 END AS TOTAL_TURNOVER,
-    CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN 100.0 - o_totalprice / 5100.0 END
+    o_totalprice / 2500.9 AS AVERAGE_NUMBER_OF_RESIDENTS_PER_DAY,
+    CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice / 97001.3 END AS HOURS,
+    CASE WHEN o_orderstatus <> 'P' THEN o_totalprice / 5101.3 END AS TOTAL_TURNOVER,
+    CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN 100.0 - o_totalprice / 5101.3 END
       AS RN_TURNOVER
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 ), latest AS (

@@ -49,14 +49,14 @@ def facility_silver(spark: SparkSession, sf: str) -> DataFrame:
         F.nullif("n_name", F.lit("NATION_0")).alias("STATE"),
         order_month().alias("SNAPSHOT_DATE"),
         F.when(F.col("c_mktsegment") != "MACHINERY", beds).alias("NUMBER_OF_CERTIFIED_BEDS"),
-        (price / 2500.0).alias("AVERAGE_NUMBER_OF_RESIDENTS_PER_DAY"),
-        F.when(priority != "5-LOW", price / 97000.0).alias(
+        (price / 2500.9).alias("AVERAGE_NUMBER_OF_RESIDENTS_PER_DAY"),
+        F.when(priority != "5-LOW", price / 97001.3).alias(
             "REPORTED_TOTAL_NURSE_STAFFING_HOURS_PER_RESIDENT_PER_DAY"
         ),
-        F.when(F.col("o_orderstatus") != "P", price / 5100.0).alias(
+        F.when(F.col("o_orderstatus") != "P", price / 5101.3).alias(
             "TOTAL_NURSING_STAFF_TURNOVER"
         ),
-        F.when(priority != "4-NOT SPECIFIED", 100.0 - price / 5100.0).alias(
+        F.when(priority != "4-NOT SPECIFIED", 100.0 - price / 5101.3).alias(
             "REGISTERED_NURSE_TURNOVER"
         ),
     )
