@@ -144,8 +144,8 @@ def needs_download(old_md5: Column, new_md5: Column, in_feed: Column) -> Column:
 
 
 def changed_ids(feed: DataFrame) -> DataFrame:
-    """Distinct item ids of a change feed."""
-    return feed.where(F.col("fileId").isNotNull()).select(F.col("fileId").alias("file_id")).distinct()
+    """Item ids of a change feed. Repeats are left for ``diff`` to merge on the way."""
+    return feed.where(F.col("fileId").isNotNull()).select(F.col("fileId").alias("file_id"))
 
 
 def diff(old: DataFrame, new: DataFrame, changed: DataFrame) -> DataFrame:

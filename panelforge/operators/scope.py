@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def in_scope(df: DataFrame, state: str | None = None, ccn: str | None = None) -> DataFrame:
+def scope_condition(state: str | None = None, ccn: str | None = None) -> Column:
     """``None`` means all. A chosen state never matches a NULL state."""
+    inside = F.lit(True)
     if state is not None:
-        df = df.where(F.col("STATE") == state)
+        inside = inside & (F.col("STATE") == state)
     if ccn is not None:
-        df = df.where(F.col("CCN") == ccn)
-    return df
+        inside = inside & (F.col("CCN") == ccn)
+    return inside
+
+
+def in_scope(df: DataFrame, state: str | None = None, ccn: str | None = None) -> DataFrame:
+    return df if state is None and ccn is None else df.where(scope_condition(state, ccn))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.measures import (
@@ -21,7 +21,7 @@ from panelforge.operators.contracts import (
 )
 from panelforge.operators.joins import attach_constant
 from panelforge.operators.reshape import melt, recode
-from panelforge.operators.scope import in_scope
+from panelforge.operators.scope import in_scope, scope_condition
 from panelforge.operators.stats import group_means, histogram, trend_line, z_scores
 from panelforge.operators.topk import top_n
 from panelforge.plans.metrics import NATIONAL_CORR, READMISSION, STATE_CORR
@@ -40,29 +40,52 @@ def overview(
 ) -> DataFrame:
     """The headline numbers of a scope, with their display text, in one row.
 
-    The average occupancy uses every known occupancy; ``paired_averages`` uses only rows
-    that also have staffing. The two may differ.
+    Each table is read once. AVG_ numbers use every known value; PAIRED_ numbers only rows
+    with both occupancy and staffing, so the two may differ. The latest month ignores the
+    scope, hence the scope is a condition inside the first aggregate and not a filter.
     """
-    first = in_scope(staffing, state, ccn).agg(
-        F.avg(OCCUPANCY).alias("AVG_OCCUPANCY"), F.avg(STAFFING).alias("AVG_STAFFING")
+    paired = F.col(OCCUPANCY).isNotNull() & F.col(STAFFING).isNotNull()
+
+    def mean(c: str, condition: Column) -> Column:
+        return F.avg(F.when(condition, F.col(c)))
+
+    inside = scope_condition(state, ccn)
+    first = staffing.agg(
+        mean(OCCUPANCY, inside).alias("AVG_OCCUPANCY"),
+        mean(STAFFING, inside).alias("AVG_STAFFING"),
+        mean(OCCUPANCY, inside & paired).alias("PAIRED_OCCUPANCY"),
+        mean(STAFFING, inside & paired).alias("PAIRED_STAFFING"),
+        F.max("MONTH").alias("LATEST_MONTH"),
     )
     second = in_scope(ranking, state, ccn).agg(F.min(STAFFING).alias("LOWEST_STAFFING"))
-    third = in_scope(turnover, state, ccn).agg(F.avg(TOTAL_TURNOVER).alias("AVG_TURNOVER"))
-    snapshot = staffing.agg(F.max("MONTH").alias("LATEST_MONTH"))
-    row = first
-    for part in (second, third, snapshot):
-        row = attach_constant(row, part)
+    row = attach_constant(first, second)
+    row = attach_constant(row, turnover_summary(turnover, state, ccn))
     return row.withColumns(
         {
             "AVG_OCCUPANCY_TEXT": number_text(F.col("AVG_OCCUPANCY"), 1, "%"),
             "AVG_STAFFING_TEXT": number_text(F.col("AVG_STAFFING"), 2),
             "LOWEST_STAFFING_TEXT": number_text(F.col("LOWEST_STAFFING"), 2),
             "AVG_TURNOVER_TEXT": number_text(F.col("AVG_TURNOVER"), 1),
+            "AVG_RN_TURNOVER_TEXT": number_text(F.col("AVG_RN_TURNOVER"), 1),
             "LATEST_MONTH_TEXT": month_text(F.col("LATEST_MONTH")),
         }
     )
 
 
+def turnover_summary(
+    turnover: DataFrame, state: str | None = None, ccn: str | None = None
+) -> DataFrame:
+    """Averages and months of a scope; two or more months mean a trend can be drawn."""
+    row = in_scope(turnover, state, ccn).agg(
+        F.avg(TOTAL_TURNOVER).alias("AVG_TURNOVER"),
+        F.avg(RN_TURNOVER).alias("AVG_RN_TURNOVER"),
+        F.count_distinct("MONTH").alias("MONTHS"),
+        F.max("MONTH").alias("LATEST_TURNOVER_MONTH"),
+    )
+    mode = F.when(F.col("MONTHS") >= 2, F.lit("trend")).otherwise(F.lit("snapshot"))
+    return row.withColumn("MODE", mode)
+
+
 def state_heatmap(staffing: DataFrame, state: str | None = None, ccn: str | None = None) -> DataFrame:
     """State means of occupancy and staffing with z-scores over the states shown."""
     means = group_means(
@@ -149,20 +172,6 @@ def scope_correlation(
     )
 
 
-def turnover_summary(
-    turnover: DataFrame, state: str | None = None, ccn: str | None = None
-) -> DataFrame:
-    """Averages and months of a scope; two or more months mean a trend can be drawn."""
-    row = in_scope(turnover, state, ccn).agg(
-        F.avg(TOTAL_TURNOVER).alias("AVG_TOTAL_TURNOVER"),
-        F.avg(RN_TURNOVER).alias("AVG_RN_TURNOVER"),
-        F.count_distinct("MONTH").alias("MONTHS"),
-        F.max("MONTH").alias("LATEST_MONTH"),
-    )
-    mode = F.when(F.col("MONTHS") >= 2, F.lit("trend")).otherwise(F.lit("snapshot"))
-    return row.withColumn("MODE", mode)
-
-
 def turnover_trend(
     turnover: DataFrame, state: str | None = None, ccn: str | None = None
 ) -> DataFrame:

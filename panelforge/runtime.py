@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,19 +25,24 @@ def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+@cache
+def _local_root(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="panelforge-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables: the cluster's checkpoint folder.
 
     Only a local session without that setting gets a temporary folder; on a cluster a
     machine-local path would be lost with the executor, so a missing setting is an error.
     """
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="panelforge-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/panelforge-{spark.sparkContext.applicationId}"
+        root = _local_root(context.applicationId)
+    return f"{root.rstrip('/')}/panelforge-{context.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str = "table") -> str:

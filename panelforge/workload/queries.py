@@ -326,21 +326,13 @@ def state_month_avg(spark, sf):
 
 def kpis(spark, sf):
     recent = _recent(spark, sf)
-    staffing = metrics.staffing_vs_occupancy(recent)
     lowest = metrics.staffed_facilities(facility_panel(spark, sf), _latest(spark, sf))
-    row = dashboard.overview(staffing, lowest, recent)
-    paired = dashboard.paired_averages(dashboard.staffing_scatter(staffing))
-    summary = dashboard.turnover_summary(recent)
-    return row.select(
-        r6("AVG_OCCUPANCY").alias("AVG_OCCUPANCY"), r6("AVG_STAFFING").alias("AVG_STAFFING"),
-        r6("LOWEST_STAFFING").alias("LOWEST_STAFFING"), r6("AVG_TURNOVER").alias("AVG_TURNOVER"),
-        "AVG_OCCUPANCY_TEXT", "AVG_STAFFING_TEXT", "LOWEST_STAFFING_TEXT", "AVG_TURNOVER_TEXT",
-        "LATEST_MONTH_TEXT",
-    ).crossJoin(
-        paired.select(
-            r6("AVG_OCCUPANCY").alias("PAIRED_OCCUPANCY"), r6("AVG_STAFFING").alias("PAIRED_STAFFING")
-        )
-    ).crossJoin(summary.select("MONTHS", "MODE", r6("AVG_RN_TURNOVER").alias("AVG_RN_TURNOVER")))
+    row = dashboard.overview(metrics.staffing_vs_occupancy(recent), lowest, recent)
+    return rounded(
+        row.drop("LATEST_MONTH", "LATEST_TURNOVER_MONTH", "AVG_RN_TURNOVER_TEXT"),
+        "AVG_OCCUPANCY", "AVG_STAFFING", "PAIRED_OCCUPANCY", "PAIRED_STAFFING", "LOWEST_STAFFING",
+        "AVG_TURNOVER", "AVG_RN_TURNOVER",
+    )
 
 
 def state_zscore(spark, sf):
