@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import calendar
 import datetime
 
 from pyspark.sql import DataFrame
@@ -25,6 +26,16 @@ def latest_snapshot(panel: DataFrame, column: str = "SNAPSHOT_DATE") -> datetime
     return latest
 
 
+def lookback_start(
+    latest: datetime.date, months: int = DEFAULT_LOOKBACK_MONTHS
+) -> datetime.date:
+    """``add_months(latest, 1 - months)``: a day the month lacks becomes its last day."""
+    at = latest.year * 12 + latest.month - months
+    year, month = at // 12, at % 12 + 1
+    day = min(latest.day, calendar.monthrange(year, month)[1])
+    return datetime.date(year, month, day)
+
+
 def lookback(
     panel: DataFrame,
     latest: datetime.date,
@@ -32,8 +43,8 @@ def lookback(
     column: str = "SNAPSHOT_DATE",
 ) -> DataFrame:
     """Rows of the last ``months`` months up to ``latest``, with their MONTH."""
-    first = F.add_months(F.lit(latest), -(months - 1))
-    return panel.where(F.col(column) >= first).withColumn("MONTH", month_start(F.col(column)))
+    first = lookback_start(latest, months)
+    return panel.where(F.col(column) >= F.lit(first)).withColumn("MONTH", month_start(F.col(column)))
 
 
 def at_snapshot(

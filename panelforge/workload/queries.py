@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,7 +37,7 @@ from panelforge.operators.manifest import (
     tree_paths,
 )
 from panelforge.operators.nearest import nearest_join
-from panelforge.operators.panel import at_snapshot, latest_snapshot, lookback
+from panelforge.operators.panel import latest_snapshot, lookback, lookback_start
 from panelforge.operators.rank import rank_rows
 from panelforge.operators.reshape import melt
 from panelforge.operators.scope import in_scope
@@ -93,21 +94,30 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: r6(c) for c in columns})
 
 
-def facility_panel(spark: SparkSession, sf: str) -> DataFrame:
-    return metrics.facility_panel(t.facility_silver(spark, sf))
+def facility_panel(
+    spark: SparkSession, sf: str, since: datetime.date | None = None
+) -> DataFrame:
+    return metrics.facility_panel(t.facility_silver(spark, sf, since))
 
 
 def measure_table(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.measure_table(t.measure_silver(spark, sf))
 
 
-def _latest(spark: SparkSession, sf: str):
+def _latest(spark: SparkSession, sf: str) -> datetime.date:
     """The newest month, from the one column that holds it."""
     return latest_snapshot(table(spark, sf, "orders").select(t.order_month().alias("m")), "m")
 
 
 def _recent(spark: SparkSession, sf: str) -> DataFrame:
-    return lookback(facility_panel(spark, sf), _latest(spark, sf))
+    latest = _latest(spark, sf)
+    first = lookback_start(latest)
+    return lookback(facility_panel(spark, sf, first), latest)
+
+
+def _ranking(spark: SparkSession, sf: str) -> DataFrame:
+    latest = _latest(spark, sf)
+    return metrics.low_staffing(facility_panel(spark, sf, latest), latest)
 
 
 def _readmissions(spark: SparkSession, sf: str) -> DataFrame:
@@ -248,7 +258,7 @@ def staffing_vs_occupancy(spark, sf):
 
 
 def low_staffing_ranking(spark, sf):
-    return metrics.low_staffing(facility_panel(spark, sf), _latest(spark, sf))
+    return _ranking(spark, sf)
 
 
 def rank_national_state(spark, sf):
@@ -325,8 +335,9 @@ def state_month_avg(spark, sf):
 
 
 def kpis(spark, sf):
-    recent = _recent(spark, sf)
-    lowest = metrics.staffed_facilities(facility_panel(spark, sf), _latest(spark, sf))
+    latest = _latest(spark, sf)
+    recent = lookback(facility_panel(spark, sf, lookback_start(latest)), latest)
+    lowest = metrics.staffed_facilities(facility_panel(spark, sf, latest), latest)
     row = dashboard.overview(metrics.staffing_vs_occupancy(recent), lowest, recent)
     return rounded(
         row.drop("LATEST_MONTH", "LATEST_TURNOVER_MONTH", "AVG_RN_TURNOVER_TEXT"),
@@ -363,13 +374,11 @@ def staffing_trend(spark, sf):
 
 
 def topn_lowest(spark, sf):
-    ranking = metrics.low_staffing(facility_panel(spark, sf), _latest(spark, sf))
-    return rounded(dashboard.lowest_staffing(ranking, 25), "STAFFING_HOURS_PER_RESIDENT_DAY")
+    return rounded(dashboard.lowest_staffing(_ranking(spark, sf), 25), "STAFFING_HOURS_PER_RESIDENT_DAY")
 
 
 def topn_lowest_in_state(spark, sf):
-    ranking = metrics.low_staffing(facility_panel(spark, sf), _latest(spark, sf))
-    top = dashboard.lowest_staffing(ranking, 10, state=STATE, by_state=True)
+    top = dashboard.lowest_staffing(_ranking(spark, sf), 10, state=STATE, by_state=True)
     return rounded(top, "STAFFING_HOURS_PER_RESIDENT_DAY")
 
 

@@ -7,8 +7,11 @@ a file tree. NULLs and dirty text, which the tables lack, are derived from their
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelforge.functions.dictionaries import FACILITY, SnapshotFamily
 from panelforge.operators.manifest import FOLDER_MIME, SHORTCUT_MIME
@@ -22,8 +25,15 @@ PREFIX = "mirror"
 NATIVE_DOCUMENT = "application/vnd.google-apps.document"
 
 
+# Schemas already read, so that a table used several times opens its footers once.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def order_day() -> Column:
@@ -35,8 +45,18 @@ def order_month() -> Column:
     return F.trunc(F.date_sub(order_day(), 1), "month")
 
 
-def facility_silver(spark: SparkSession, sf: str) -> DataFrame:
+def facility_silver(
+    spark: SparkSession, sf: str, since: datetime.date | None = None
+) -> DataFrame:
+    """The facility rows, all or those of month ``since`` and later.
+
+    The month is computed from the order time, so a filter on it stops at the projection;
+    ``since`` says the same about the stored column and reaches the scan.
+    """
     orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
+    if since is not None:
+        first_day = datetime.datetime.combine(since, datetime.time()) + datetime.timedelta(days=1)
+        orders = orders.where(F.col("o_orderdate") >= F.lit(str(first_day)).cast("timestamp_ntz"))
     facilities = customer.join(
         table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )

@@ -18,7 +18,7 @@ from panelforge.operators.contracts import (
     conform,
     require_columns,
 )
-from panelforge.operators.panel import latest_snapshot, lookback
+from panelforge.operators.panel import latest_snapshot, lookback, lookback_start
 from panelforge.plans import dashboard, metrics
 from panelforge.sources.gold import load_dashboard, read_gold
 
@@ -57,6 +57,13 @@ def test_lookback_window(spark):
         latest_snapshot(df.where("SNAPSHOT_DATE IS NULL"))
 
 
+@pytest.mark.parametrize("day", [OCT, D(2024, 3, 31), D(2024, 12, 31), D(2024, 1, 1)])
+@pytest.mark.parametrize("months", [1, 2, 12, 26])
+def test_lookback_start_is_add_months(spark, day, months):
+    expected = spark.range(1).select(F.add_months(F.lit(day), 1 - months)).first()[0]
+    assert lookback_start(day, months) == expected
+
+
 def test_contracts(spark):
     df = panel(spark, facility("1"))
     with pytest.raises(ValueError, match="CCN"):

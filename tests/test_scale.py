@@ -137,7 +137,8 @@ def test_first_per_key_limits_before_the_exchange(spark, hot):
     } == expected
 
 
-def test_nearest_against_brute_force(spark):
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_nearest_against_brute_force(spark, limit):
     base = spark.range(6000)
     day = F.date_add(F.lit("2020-01-01").cast("date"), (F.hash("id") % 400).cast("int"))
     panel = base.select(
@@ -149,7 +150,11 @@ def test_nearest_against_brute_force(spark):
         F.when(F.col("id") % 10 != 4, F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")))
         .alias("a"),
     )
-    got = {r.k: (r.d, r.v) for r in nearest_join(panel, anchors, ["k"], "d", "a").collect()}
+    joined = nearest_join(panel, anchors, ["k"], "d", "a", broadcast_bytes=limit)
+    got = {r.k: (r.d, r.v) for r in joined.collect()}
+    if limit:
+        shown = plan(nearest_join(panel, anchors, ["k"], "d", "a"))
+        assert shown.split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
     targets = {r.k: r.a for r in anchors.collect()}
     best = {}
     for r in panel.collect():
