@@ -29,7 +29,7 @@ def attach(
 
     ``side`` is written once and measured exactly. If it fits ``broadcast_bytes`` the
     detail is not shuffled at all. Otherwise the side is repeated once per salt and the
-    detail rows take salts in turn, so a key holding a third of the rows is spread over
+    detail rows take different salts, so a key holding a third of the rows is spread over
     ``salts`` tasks. Both ways give the same rows. Pass ``side_bytes`` for a side that was
     already measured.
     """
@@ -51,10 +51,14 @@ def attach(
     kept = [F.col(f"`{c}`") for c in [*detail.columns, *values]]
     if side_bytes <= broadcast_bytes:
         return detail.join(F.broadcast(renamed), matches(), how).select(*kept)
-    spread = detail.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+    # Content plus partition number: copies of one row in different partitions part ways,
+    # and a task that runs again gives every row the same salt.
+    content = F.xxhash64(*(F.col(f"`{c}`") for c in detail.columns))
+    salt = F.pmod(F.pmod(content, F.lit(salts)) + F.spark_partition_id(), F.lit(salts))
+    salt = salt.cast("int")
     copies = renamed.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    on_salt = F.col("_salt") == F.col("_copy").cast("long")
-    return spread.join(copies, matches() & on_salt, how).select(*kept)
+    spread = detail.withColumn("_salt", salt)
+    return spread.join(copies, matches() & (F.col("_salt") == F.col("_copy")), how).select(*kept)
 
 
 def attach_constant(detail: DataFrame, one_row: DataFrame) -> DataFrame:

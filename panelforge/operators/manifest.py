@@ -250,6 +250,11 @@ def actions(changes: DataFrame, new: DataFrame) -> DataFrame:
     return upserts.unionByName(deletions)
 
 
+def in_step_order(steps: DataFrame) -> DataFrame:
+    """An action table in the order a sequential executor has to follow."""
+    return steps.orderBy("step", "depth", "file_id")
+
+
 def plan_counts(changes: DataFrame) -> DataFrame:
     return changes.groupBy("change_type").agg(F.count(F.lit(1)).alias("items"))
 

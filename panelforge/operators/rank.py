@@ -28,8 +28,10 @@ def rank_rows(
     Equal to ``row_number().over(Window.orderBy(order, remaining columns))`` and the same
     window partitioned by ``group``, as longs; NULL group values form a group of their own.
 
-    1. One range exchange cuts the table into ordered slices. Its key ends in a row id, so
-       equal rows, or one value held by a third of the table, still spread over slices.
+    1. One range exchange cuts the table into ordered slices. Its key is the full order, all
+       remaining columns and the partition a row came from, so one value held by a third of
+       the table, or copies of one row, still spread over slices; and a task that runs again
+       sends every row to the same slice.
     2. The sorted slices are written once with slice number and position, which fixes the
        cut for the later steps even if an executor is lost.
     3. Global rank = position + size of the earlier slices (one row per slice, broadcast).
@@ -40,10 +42,10 @@ def rank_rows(
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     total = [*order, *tie_columns(df, order_columns)]
     ranged = (
-        df.withColumn("_id", F.monotonically_increasing_id())
-        .repartitionByRange(slices, *total, F.col("_id"))
+        df.withColumn("_from", F.spark_partition_id())
+        .repartitionByRange(slices, *total, F.col("_from"))
         .sortWithinPartitions(*total)
-        .drop("_id")
+        .drop("_from")
         .withColumn("_at", F.monotonically_increasing_id())
     )
     columns = [F.col(f"`{c}`") for c in df.columns]

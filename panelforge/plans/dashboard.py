@@ -219,3 +219,9 @@ def facility_list(staffing: DataFrame, state: str | None = None) -> DataFrame:
         .withColumn("DISPLAY", facility_label(F.col("PROVIDER_NAME"), F.col("CCN")))
         .orderBy(F.col("PROVIDER_NAME").asc_nulls_last(), F.col("CCN").asc_nulls_last())
     )
+
+
+def facility_of(facilities: DataFrame, display: str) -> DataFrame:
+    """The CCN behind a chosen label of ``facility_list``, the first if several share it."""
+    chosen = facilities.where(F.col("DISPLAY") == display)
+    return top_n(chosen, 1, F.col("PROVIDER_NAME"), F.col("CCN")).select("CCN")

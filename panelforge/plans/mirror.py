@@ -60,15 +60,17 @@ def mirror(
     prefix: str,
     listing: Callable[[], DataFrame],
     feed: DataFrame | None,
-    next_token: str,
+    cursor: Callable[[], str],
     apply: Callable[[DataFrame], None],
 ) -> MirrorRun:
     """Bring the mirror up to date and advance the state.
 
-    ``next_token`` must be taken before ``listing`` is called, so that a change made
-    during the listing is seen again by the next run rather than lost.
+    The next cursor is taken before the tree is listed, so that a change made during the
+    listing is seen again by the next run rather than lost. ``apply`` gets the action
+    table; ``in_step_order`` sorts it for a sequential executor.
     """
     state = store.read()
+    next_token = cursor()
     if state is None:
         manifest, crawl = _walk(listing(), root_id, prefix)
         steps = freeze(bootstrap_steps(manifest))

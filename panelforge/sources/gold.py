@@ -18,13 +18,13 @@ from panelforge.operators.contracts import (
 def in_order(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Globally sorted rows, for locality in the files.
 
-    The sort key ends in a row id: rows equal in every listed column would otherwise all
-    land in one task.
+    The sort key ends in the partition a row came from: rows equal in every listed column
+    would otherwise all land in one task.
     """
     return (
-        df.withColumn("_id", F.monotonically_increasing_id())
-        .orderBy(*(F.col(c) for c in columns), "_id")
-        .drop("_id")
+        df.withColumn("_from", F.spark_partition_id())
+        .orderBy(*(F.col(c) for c in columns), "_from")
+        .drop("_from")
     )
 
 

@@ -35,7 +35,7 @@ def feed_stream(
     def reconcile(batch: DataFrame, batch_id: int) -> None:
         state = store.read()
         if state is None or state.page_token != str(batch_id):
-            mirror(store, root_id, prefix, listing, batch, str(batch_id), apply)
+            mirror(store, root_id, prefix, listing, batch, lambda: str(batch_id), apply)
 
     return (
         records.writeStream.foreachBatch(reconcile)

@@ -579,7 +579,9 @@ def mirror_runs(spark, sf):
     )
 
     def run(token: str):
-        return mirror(store, t.ROOT, t.PREFIX, lambda: listing, feed, token, lambda steps: None)
+        return mirror(
+            store, t.ROOT, t.PREFIX, lambda: listing, feed, lambda: token, lambda steps: None
+        )
 
     first, second = run("one"), run("two")
     booted = first.counts.select(F.lit(first.mode).alias("mode"), "downloaded", "folder_markers_created")

@@ -17,6 +17,7 @@ from panelforge.operators.manifest import (
     changed_ids,
     cleanup,
     diff,
+    in_step_order,
     manifest_rows,
     require_unique_keys,
     run_counts,
@@ -105,6 +106,8 @@ def test_actions_and_counts(spark):
     table = manifest(spark, *new)
     steps = actions(changes(spark, old, new, "m", "c", "md"), table)
     got = {(r.file_id, r.action): (r.step, r.depth, r.source_key) for r in steps.collect()}
+    ordered = [(r.step, r.depth) for r in in_step_order(steps).collect()]
+    assert ordered == sorted(ordered)
     assert got == {
         ("f", "mark_folder"): (1, 1, None), ("nf", "mark_folder"): (1, 2, None),
         ("n", "download"): (2, 0, None), ("m", "copy"): (3, 0, "p/old/x"),
@@ -204,7 +207,19 @@ def test_json_state(spark, tmp_path):
 
 
 def run(spark, store, rows=TREE, fed=(), token="t1", apply=lambda steps: None, root="root"):
-    return mirror(store, root, "p", lambda: listing(spark, rows), feed(spark, *fed), token, apply)
+    order = []
+
+    def cursor():
+        order.append("cursor")
+        return token
+
+    def listed():
+        order.append("listing")
+        return listing(spark, rows)
+
+    done = mirror(store, root, "p", listed, feed(spark, *fed), cursor, apply)
+    assert order[0] == "cursor"
+    return done
 
 
 def no_cycle(rows):

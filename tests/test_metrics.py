@@ -250,6 +250,8 @@ def test_scatter_trend_and_lists(spark, gold):
     assert [r[0] for r in dashboard.state_list(gold["staffing"]).collect()] == ["AL", "NV", "TX"]
     shown = [r.DISPLAY for r in dashboard.facility_list(gold["staffing"], "AL").collect()]
     assert shown == ["Home 1 (1)", "Home 2 (2)"]
+    facilities = dashboard.facility_list(gold["staffing"])
+    assert [r.CCN for r in dashboard.facility_of(facilities, "Home 4 (4)").collect()] == ["4"]
 
 
 def test_scope_correlation(spark):
