@@ -42,12 +42,17 @@ def is_null_token(c: Column) -> Column:
     return F.upper(F.trim(c)).isin(*NULL_TOKENS)
 
 
+# Words ("Not Available") are not worth a cast: a failed one costs an exception inside
+# Spark. A leading I may still be an infinity.
+_WORD = r"^\s*[A-HJ-Za-hj-z]"
+
+
 def to_double(c: Column) -> Column:
     """Text to double; unparseable text and NaN become NULL.
 
     NaN is mapped to NULL so that one "NaN" cell cannot poison an average.
     """
-    value = c.try_cast("double")
+    value = F.when(~c.rlike(_WORD), c.try_cast("double"))
     return F.when(~F.isnan(value), value)
 
 

@@ -33,7 +33,7 @@ from panelforge.operators.panel import (
 from panelforge.operators.rank import rank_rows
 from panelforge.operators.stats import correlate
 from panelforge.operators.topk import first_per_key
-from panelforge.runtime import freeze
+from panelforge.runtime import freeze, scratch_scope
 from panelforge.sources.gold import write_gold
 
 # Fixed value: the measure compared with staffing.
@@ -200,7 +200,8 @@ def build_gold(
     latest = latest_snapshot(panel)
     recent = lookback(panel, latest, months).persist()
     try:
-        tables = metric_tables(facility_silver, measure_silver, months, latest, recent)
-        return [write_gold(build(), base, name) for name, build in tables.items()]
+        with scratch_scope(facility_silver.sparkSession):
+            tables = metric_tables(facility_silver, measure_silver, months, latest, recent)
+            return [write_gold(build(), base, name) for name, build in tables.items()]
     finally:
         recent.unpersist()

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+# Scratch paths of the innermost open scope.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("panelforge_scratch", default=None)
+
+
 def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> SparkSession:
     """A session for tests and benchmarks. On a cluster, use the session you are given."""
     settings = {
@@ -46,13 +52,35 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str = "table") -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete on exit the scratch tables written inside. For jobs whose results are written
+    elsewhere by then."""
+    paths: list[str] = []
+    before = _SCOPE.set(paths)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(before)
+        for path in paths:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete every scratch table this application wrote. Call when a job is finished."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, scratch_root(spark))
 
 
 def freeze(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from panelforge.plans.mirror import mirror
+from panelforge.runtime import scratch_scope
 from panelforge.schemas import columns
 from panelforge.sources.state import StateStore
 
@@ -35,7 +36,8 @@ def feed_stream(
     def reconcile(batch: DataFrame, batch_id: int) -> None:
         state = store.read()
         if state is None or state.page_token != str(batch_id):
-            mirror(store, root_id, prefix, listing, batch, lambda: str(batch_id), apply)
+            with scratch_scope(spark):
+                mirror(store, root_id, prefix, listing, batch, lambda: str(batch_id), apply)
 
     return (
         records.writeStream.foreachBatch(reconcile)

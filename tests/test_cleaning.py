@@ -50,6 +50,15 @@ NUMBERS = [
 ]
 
 
+def test_to_double_equals_try_cast(spark):
+    values = ["5", " 5 ", "\t5", "-.5e3", "+7", "1.5d", "Infinity", "-inf", "INF", "x5", "Not 5", "",
+              "0x1p3", "1_0", None, "e5", ".", "-"]
+    assert apply(spark, clean.to_double, values) == apply(
+        spark, lambda c: c.try_cast("double"), values
+    )
+    assert apply(spark, clean.to_double, ["nan", "NaN", "-NaN", "+nan"]) == [None] * 4
+
+
 def test_number(spark):
     values, expected = zip(*NUMBERS)
     assert apply(spark, clean.number, values) == list(expected)

@@ -15,6 +15,7 @@ from panelforge.operators.stats import pearson, z_scores
 from panelforge.operators.topk import first_per_key
 from panelforge.plans import metrics
 from panelforge.sources.gold import in_order
+from panelforge.sources.state import path_exists
 from panelforge.workload import tables as t
 
 SF = "/root/testdata/sf0.01"
@@ -244,3 +245,11 @@ def test_scratch_is_dropped(spark):
     assert (frozen.count(), count) == (10, 10) and size > 0
     empty, count, size = runtime.freeze_measured(spark.range(0).toDF("x"))
     assert (empty.count(), count, size) == (0, 0, 0)
+
+
+def test_scratch_scope(spark):
+    with runtime.scratch_scope(spark):
+        path = runtime.scratch_path(spark)
+        spark.range(3).write.parquet(path)
+        assert path_exists(spark, path)
+    assert not path_exists(spark, path)

@@ -160,3 +160,20 @@ def test_stream_names_the_bad_file(spark, tmp_path):
     )
     with pytest.raises(Exception, match="Foo2024"):
         query.awaitTermination()
+
+
+def test_every_dictionary_column(spark, tmp_path):
+    sample = {"text": " t ", "yes_no": "y", "date": "1/5/2024", "number": "52.1%"}
+    names = list(FACILITY.kinds)
+    put(
+        tmp_path, "Oct2024",
+        ",".join(n.replace("_", " ").title() for n in names) + "\n"
+        + ",".join(sample[FACILITY.kinds[n]] for n in names) + "\n",
+    )
+    silver = build_silver(spark, str(tmp_path), FACILITY)
+    kinds = {"text": "string", "yes_no": "string", "date": "date", "number": "double"}
+    assert {n: t for n, t in silver.dtypes if n in FACILITY.kinds} == {
+        n: kinds[k] for n, k in FACILITY.kinds.items()
+    }
+    clean = {"text": "t", "yes_no": "Y", "date": D(2024, 1, 5), "number": 52.1}
+    assert silver.select(*names).first().asDict() == {n: clean[FACILITY.kinds[n]] for n in names}
