@@ -19,9 +19,9 @@ from panelforge.workload.queries import QUERIES
 HEADLINE = (
     "scan_parquet clean_numeric clean_date dictionary_typing csv_roundtrip_clean safe_ratio "
     "occupancy_trend staffing_vs_occupancy low_staffing_ranking rank_national_state "
-    "latest_per_key nearest_orders readmission_pipeline state_month_avg kpis state_zscore "
-    "linear_fit_grid topn_lowest top_states turnover_trend histogram_quantity group_corr "
-    "manifest_diff mirror_actions tree_paths_walk duplicate_keys incremental_stream"
+    "latest_per_key nearest_join readmission_correlation state_month_avg kpis state_zscore "
+    "linear_fit_grid topn_lowest top_states turnover_trend histogram group_corr "
+    "manifest_diff mirror_actions tree_paths duplicate_keys incremental_stream"
 ).split()
 
 

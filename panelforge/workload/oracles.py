@@ -250,7 +250,7 @@ FROM lineitem""",
 SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS o_day, o_totalprice FROM orders
 WHERE o_orderpriority = '1-URGENT'
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1""",
-    "nearest_orders": """
+    "nearest_join": """
 WITH anchors AS (
   SELECT o_custkey, CAST(o_orderdate AS DATE) AS urgent_day, o_orderkey AS urgent_key FROM orders
   WHERE o_orderpriority = '1-URGENT'
@@ -268,7 +268,7 @@ FROM lineitem GROUP BY l_partkey""",
     "global_corr": f"""
 SELECT {r6(clean_corr("l_quantity", "l_extendedprice"))} AS correlation, count(*) AS rows
 FROM lineitem""",
-    "readmission_pipeline": f"WITH {SCORED} SELECT * FROM scored",
+    "readmission_correlation": f"WITH {SCORED} SELECT * FROM scored",
     "state_month_avg": f"""WITH {PANEL}
 SELECT CCN, PROVIDER_NAME, STATE, MONTH, {r6("TOTAL_TURNOVER")} AS TOTAL_NURSING_STAFF_TURNOVER,
   {r6("RN_TURNOVER")} AS REGISTERED_NURSE_TURNOVER,
@@ -299,7 +299,7 @@ SELECT STATE, {r6("o")} AS OCCUPANCY_RATE_PCT, {r6("h")} AS STAFFING_HOURS,
   {r6("CASE WHEN so IS NULL OR so = 0 THEN 0.0 ELSE (o - mo) / so END")} AS OCCUPANCY_RATE_PCT_Z,
   {r6("CASE WHEN sh IS NULL OR sh = 0 THEN 0.0 ELSE (h - mh) / sh END")} AS STAFFING_HOURS_Z
 FROM kept, moments""",
-    "linear_fit_lines": f"""
+    "linear_fit": f"""
 WITH {FIT.format(x="l_quantity", y="l_extendedprice", source="lineitem")}
 SELECT {r6("a")} AS SLOPE, {r6("b")} AS INTERCEPT, lo AS X_MIN, hi AS X_MAX FROM fit WHERE lo < hi""",
     "linear_fit_grid": f"""
@@ -363,7 +363,7 @@ UNION ALL SELECT STATE, 'Registered Nurses', {r6("rn")} FROM m""",
 SELECT TURNOVER_TYPE, BIN, (BIN - 1) * CAST(5 AS DOUBLE) AS BIN_START,
   BIN * CAST(5 AS DOUBLE) AS BIN_END, count(*) AS ROWS
 FROM binned GROUP BY TURNOVER_TYPE, BIN""",
-    "histogram_quantity": """
+    "histogram": """
 WITH binned AS (
   SELECT l_returnflag, CAST(least(floor(l_quantity * 2 / 5) + 1, 20) AS INTEGER) AS BIN
   FROM lineitem
@@ -408,7 +408,7 @@ SELECT count(*) FILTER (counts_as LIKE '%downloaded%') AS downloaded,
   count(*) FILTER (counts_as LIKE '%moved%') AS moved,
   count(*) FILTER (counts_as = 'deleted') AS deleted, CAST(0 AS BIGINT) AS folder_markers_created
 FROM steps""",
-    "tree_paths_walk": f"""WITH {TREE}
+    "tree_paths": f"""WITH {TREE}
 SELECT id AS file_id, kind, CAST(depth AS INTEGER) AS depth, path AS relative_path FROM tree""",
     "crawl_summary": f"""WITH {TREE}
 SELECT count(*) FILTER (kind = 'folder') AS folders, count(*) FILTER (kind = 'file') AS files,
@@ -426,7 +426,7 @@ SELECT l_orderkey || '/' || l_linenumber AS line, min(l_partkey || '-' || l_supp
   max(l_partkey || '-' || l_suppkey) AS last_id
 FROM lineitem GROUP BY l_orderkey, l_linenumber
 HAVING min(l_partkey || '-' || l_suppkey) <> max(l_partkey || '-' || l_suppkey)""",
-    "manifest_state": f"""WITH {VERSIONS}
+    "manifest_state_json": f"""WITH {VERSIONS}
 SELECT file_id, k AS s3_key, m AS md5_checksum, 'second' AS token FROM new_m""",
     "mirror_runs": f"""WITH {TREE}
 SELECT 'bootstrap' AS mode, count(*) FILTER (kind = 'file') AS downloaded,

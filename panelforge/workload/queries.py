@@ -52,8 +52,8 @@ from panelforge.operators.typing import apply_dictionary, union_drifting
 from panelforge.plans import dashboard, metrics
 from panelforge.plans.mirror import bootstrap_steps, mirror
 from panelforge.runtime import freeze, scratch_path
-from panelforge.sources.gold import load_dashboard, read_gold, write_gold
-from panelforge.sources.snapshots import build_silver, discover, list_snapshots, read_silver
+from panelforge.sources.gold import load_dashboard, read_gold
+from panelforge.sources.snapshots import build_silver, list_snapshots, read_silver
 from panelforge.sources.state import (
     StateStore,
     read_manifest_json,
@@ -317,7 +317,7 @@ def global_corr(spark, sf):
     )
 
 
-def readmission_pipeline(spark, sf):
+def readmission_correlation(spark, sf):
     return rounded(
         _readmissions(spark, sf), STAFFING, metrics.READMISSION, metrics.STATE_CORR,
         metrics.NATIONAL_CORR,
@@ -605,14 +605,23 @@ def incremental_stream(spark, sf):
     return read_silver(spark, target).select(*_RELEASE_COLUMNS)
 
 
+# Queries named after the operator they run, whose name the function cannot take.
+_NAMES = {
+    nearest_orders: "nearest_join",
+    linear_fit_lines: "linear_fit",
+    histogram_quantity: "histogram",
+    tree_paths_walk: "tree_paths",
+    manifest_state: "manifest_state_json",
+}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q
+    _NAMES.get(q, q.__name__): q
     for q in (
         scan_parquet, csv_roundtrip_clean, snapshot_discovery, name_month_parse, clean_text_yn,
         document_text_clean, clean_numeric, clean_date, dictionary_typing, drift_union,
         contract_report, lookback_panel, safe_ratio, occupancy_trend, staffing_vs_occupancy,
         low_staffing_ranking, rank_national_state, latest_per_key, nearest_orders, group_corr,
-        global_corr, readmission_pipeline, state_month_avg, kpis, state_zscore, linear_fit_lines,
+        global_corr, readmission_correlation, state_month_avg, kpis, state_zscore, linear_fit_lines,
         linear_fit_grid, staffing_points, staffing_trend, topn_lowest, topn_lowest_in_state,
         topn_customers, readmission_points, readmission_trend, strength_label, state_strengths,
         turnover_trend, top_states, turnover_distribution, histogram_quantity, detail_unpivot,
