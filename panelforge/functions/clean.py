@@ -16,12 +16,14 @@ NULL_TOKENS = ("", "NA", "N/A", "DATA NOT AVAILABLE")
 DATE_FORMATS = ("MM/dd/yyyy", "M/d/yyyy", "yyyy-MM-dd", "MM-dd-yyyy")
 
 # The shape of a text decides which layout can fit it (``M/d/yyyy`` reads all that
-# ``MM/dd/yyyy`` does), so each value is parsed once. A failed parse costs an exception
-# inside Spark, which trying all layouts on every row would pay several times over.
+# ``MM/dd/yyyy`` does), so each value is parsed once, and month 13 or day 45 not at all. A
+# failed parse costs an exception inside Spark, which trying all layouts on every row would
+# pay several times over.
+_DAY, _MONTH, _YEAR = "(0[1-9]|[12][0-9]|3[01])", "(0[1-9]|1[0-2])", "[0-9]{4}"
 _SHAPES = (
-    (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", DATE_FORMATS[1]),
-    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", DATE_FORMATS[2]),
-    (r"^[0-9]{2}-[0-9]{2}-[0-9]{4}$", DATE_FORMATS[3]),
+    (f"^(0?[1-9]|1[0-2])/(0?[1-9]|[12][0-9]|3[01])/{_YEAR}$", DATE_FORMATS[1]),
+    (f"^{_YEAR}-{_MONTH}-{_DAY}$", DATE_FORMATS[2]),
+    (f"^{_MONTH}-{_DAY}-{_YEAR}$", DATE_FORMATS[3]),
 )
 
 # Characters removed from numbers before the cast.

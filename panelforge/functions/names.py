@@ -17,13 +17,33 @@ def normalize_header(name: str) -> str:
     return HEADER_ALIASES.get(snake, snake)
 
 
+# Month names in file names, in full or by their first three letters.
+MONTHS = (
+    "january february march april may june july august september october november december"
+).split()
+
+
 def snapshot_month(file_name: Column) -> Column:
     """First day of the month named at the end of a file name, NULL if there is none.
 
-    Short and full English month names in any case are read (``Oct2024``, ``october2024``).
+    Short and full English month names in any case are read (``_Oct2024.csv``,
+    ``_october2024.csv``). This runs on every row of a scan, so it compares strings and
+    leaves out patterns and date parsing, whose failures cost an exception each.
     """
-    month = F.regexp_extract(file_name, r"(?i)_([A-Za-z]+[0-9]{4})\.csv$", 1)
-    return F.coalesce(F.try_to_date(month, "MMMyyyy"), F.try_to_date(month, "MMMMyyyy"))
+    tail = F.lower(F.substring_index(file_name, "_", -1))
+    word = F.substr(tail, F.lit(1), F.length(tail) - 8)
+    year = F.substr(tail, F.length(tail) - 7, F.lit(4))
+    names = F.array(*(F.lit(m) for m in MONTHS), *(F.lit(m[:3]) for m in MONTHS))
+    place = F.array_position(names, word)
+    number = F.pmod(place - 1, F.lit(12)) + 1
+    valid = (
+        file_name.contains("_")
+        & tail.endswith(".csv")
+        & (F.translate(year, "0123456789", "") == "")
+        & (year > "0000")
+        & (place > 0)
+    )
+    return F.when(valid, F.make_date(year.try_cast("int"), number.cast("int"), F.lit(1)))
 
 
 def safe_name(name: Column) -> Column:

@@ -17,6 +17,7 @@ from panelforge.functions.measures import (
     strength_text,
 )
 from panelforge.functions.names import (
+    MONTHS,
     normalize_header,
     normalize_prefix,
     safe_name,
@@ -81,21 +82,30 @@ def test_date_equals_trying_every_layout(spark):
     def every(c):
         return F.coalesce(*(F.try_to_date(F.trim(c), f) for f in clean.DATE_FORMATS))
 
-    values = [v for v, _ in DATES] + ["01/5/2024", "1/05/2024", "0/1/2024", "00/10/2024"]
+    values = [v for v, _ in DATES] + ["01/5/2024", "1/05/2024", "0/1/2024", "00/10/2024",
+              "12/31/1999", "1/32/2024", "11/31/2024", "2024-13-01", "2023-02-29", "10-32-2024",
+              "001/1/2024", "2024-10-1", "10/1/20245"]
     assert apply(spark, clean.date, values) == apply(spark, every, values)
 
 
 def test_snapshot_month(spark):
     names = [
         "NH_ProviderInfo_Oct2024.csv", "x_October2024.csv", "x_OCT2024.CSV", "x_may2025.csv",
-        "x_Foo2024.csv", "x_Sept2024.csv", "x_2024.csv",
+        "x_Foo2024.csv", "x_Sept2024.csv", "x_2024.csv", "Oct2024.csv", "x_Oct2024.txt",
+        "x_Oct0000.csv", "x_Oct24.csv", "x_Oct-202.csv", "x_Oct2024.csv.csv", "_a_dec1999.csv",
+        "", None, "x_9Oct2024.csv", "x_",
     ]
     october = D(2024, 10, 1)
     assert apply(spark, snapshot_month, names) == [
-        october, october, october, D(2025, 5, 1), None, None, None
+        october, october, october, D(2025, 5, 1), *[None] * 9, D(1999, 12, 1), *[None] * 4
     ]
 
 
+def test_snapshot_month_reads_every_month(spark):
+    names = [f"x_{m}2020.csv" for m in MONTHS] + [f"x_{m[:3].title()}2020.csv" for m in MONTHS]
+    assert apply(spark, snapshot_month, names) == [D(2020, 1 + i % 12, 1) for i in range(24)]
+
+
 def test_header_names():
     assert normalize_header(" Average Number of Residents per Day ") == (
         "AVERAGE_NUMBER_OF_RESIDENTS_PER_DAY"
