@@ -19,9 +19,10 @@ DATE_FORMATS = ("MM/dd/yyyy", "M/d/yyyy", "yyyy-MM-dd", "MM-dd-yyyy")
 # ``MM/dd/yyyy`` does), so each value is parsed once, and month 13 or day 45 not at all. A
 # failed parse costs an exception inside Spark, which trying all layouts on every row would
 # pay several times over.
-_DAY, _MONTH, _YEAR = "(0[1-9]|[12][0-9]|3[01])", "(0[1-9]|1[0-2])", "[0-9]{4}"
+_DAY, _MONTH = "(0[1-9]|[12][0-9]|3[01])", "(0[1-9]|1[0-2])"
+_YEAR = r"(-?[0-9]{4}|[+-][0-9]{5,9})"
 _SHAPES = (
-    (f"^(0?[1-9]|1[0-2])/(0?[1-9]|[12][0-9]|3[01])/{_YEAR}$", DATE_FORMATS[1]),
+    (f"^0*([1-9]|1[0-2])/0*([1-9]|[12][0-9]|3[01])/{_YEAR}$", DATE_FORMATS[1]),
     (f"^{_YEAR}-{_MONTH}-{_DAY}$", DATE_FORMATS[2]),
     (f"^{_MONTH}-{_DAY}-{_YEAR}$", DATE_FORMATS[3]),
 )

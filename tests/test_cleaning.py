@@ -82,10 +82,17 @@ def test_date_equals_trying_every_layout(spark):
     def every(c):
         return F.coalesce(*(F.try_to_date(F.trim(c), f) for f in clean.DATE_FORMATS))
 
-    values = [v for v, _ in DATES] + ["01/5/2024", "1/05/2024", "0/1/2024", "00/10/2024",
-              "12/31/1999", "1/32/2024", "11/31/2024", "2024-13-01", "2023-02-29", "10-32-2024",
-              "001/1/2024", "2024-10-1", "10/1/20245"]
-    assert apply(spark, clean.date, values) == apply(spark, every, values)
+    values = [v for v, _ in DATES] + [
+        "01/5/2024", "1/05/2024", "0/1/2024", "00/10/2024", "12/31/1999", "1/32/2024", "11/31/2024",
+        "2024-13-01", "2023-02-29", "10-32-2024", "001/1/2024", "2024-10-1", "10/1/20245",
+        "1/1/0000", "-2024-01-01", "1/1/-2024", "+2024-01-01", "+20245-01-01", "1/1/+20245",
+        "-20245-01-01", "10-01--2024", "1 /1/2024", "1/1/2024 ", "2024-10-01T00:00:00", "0001-01-01",
+    ]
+
+    def as_text(cleaner):
+        return apply(spark, lambda c: cleaner(c).cast("string"), values)
+
+    assert as_text(clean.date) == as_text(every)
 
 
 def test_snapshot_month(spark):
