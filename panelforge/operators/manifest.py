@@ -47,7 +47,7 @@ def tree_paths(listing: DataFrame, root_id: str) -> DataFrame:
 
     The folders are walked one level per step, so the loop runs as often as the tree is
     deep; items are then joined once to their parent folder. A folder holding a third of
-    all items stays a broadcast or salted key. Children of non-folders are unreachable.
+    all items is a hot key of ``attach``. Children of non-folders are unreachable.
     """
     items = listing.withColumns(
         {

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import json
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from panelforge.operators.joins import attach
 from panelforge.operators.manifest import (
     FOLDER_MIME,
     LISTING,
@@ -165,7 +167,10 @@ def listing(spark, rows=TREE):
     return spark.createDataFrame(rows, LISTING)
 
 
-def test_tree_walk(spark):
+@pytest.mark.parametrize("limit", [1 << 20, -1])
+def test_tree_walk(spark, monkeypatch, limit):
+    narrow = functools.partial(attach, broadcast_bytes=limit)
+    monkeypatch.setattr("panelforge.operators.manifest.attach", narrow)
     tree = tree_paths(listing(spark), "root")
     got = {r.file_id: (r.kind, r.depth, r.relative_path) for r in tree.collect() if r.file_id != "root"}
     assert got == {

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelforge import runtime
-from panelforge.operators.joins import attach
+from panelforge.operators.joins import attach, hot_keys
 from panelforge.operators.manifest import changed_ids, diff
 from panelforge.operators.nearest import nearest_join
 from panelforge.operators.rank import rank_rows
@@ -92,35 +92,52 @@ def test_attach_both_ways(spark, hot, limit):
     side = hot.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("m"))
     window = Window.partitionBy("g")
     expected = hot.withColumns({"n": F.count(F.lit(1)).over(window), "m": F.avg("v").over(window)})
-    got = attach(hot, side, ["g"], match_nulls=True, broadcast_bytes=limit, salts=8)
+    got = attach(hot, side, ["g"], match_nulls=True, broadcast_bytes=limit)
 
     def rounded(df):
         return rows(df.withColumn("m", F.round("m", 9)))
 
     assert rounded(got) == rounded(expected)
-    plain = attach(hot, side, ["g"], broadcast_bytes=limit, salts=8)
+    plain = attach(hot, side, ["g"], broadcast_bytes=limit)
     assert plain.where("g IS NULL AND n IS NOT NULL").count() == 0
     assert plain.count() == 30000
-    inner = attach(hot, side.where("g = 'hot'"), ["g"], "inner", broadcast_bytes=limit, salts=8)
+    inner = attach(hot, side.where("g = 'hot'"), ["g"], "inner", broadcast_bytes=limit)
     assert inner.count() == 10000
 
 
-def test_attach_salted_plan_spreads_the_hot_key(spark, hot):
+def test_hot_keys_never_reach_the_exchange(spark, hot):
+    assert [r["_hot"]["g"] for r in hot_keys(hot, ["g"]).collect()] == ["hot"]
     side = hot.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
     try:
-        joined = attach(hot, side, ["g"], broadcast_bytes=0, salts=8)
-        shown = plan(joined)
-        assert "BroadcastHashJoin" not in shown and "_salt" in shown
-        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-        assert sum(r["count"] for r in sizes) == 30000
+        df = attach(hot, side, ["g"], match_nulls=True, broadcast_bytes=0)
+        df.collect()
+        shown = plan(df).split("Initial Plan")[0]
+        assert "SortMergeJoin" in shown and "LeftAnti" in shown and "LeftSemi" in shown
+        # The detail side of the shuffled join carries the cold two thirds only.
+        cold = hot.join(F.broadcast(hot_keys(hot, ["g"])), F.struct("g") == F.col("_hot"), "left_anti")
+        assert cold.count() == 20000
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set(threshold, before)
 
 
-def test_attach_empty_side(spark, hot):
-    side = hot.where("false").groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    assert attach(hot, side, ["g"]).where("n IS NULL").count() == 30000
+@pytest.mark.parametrize("limit", [1 << 20, -1])
+def test_attach_empty_inputs(spark, hot, limit):
+    side = hot.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    nothing = attach(hot, side.where("n < 0"), ["g"], broadcast_bytes=limit)
+    assert nothing.where("n IS NULL").count() == 30000
+    assert attach(hot.where("false"), side, ["g"], broadcast_bytes=limit).count() == 0
+
+
+def test_attach_with_a_hot_null_key(spark, hot):
+    nulls = hot.withColumn("g", F.nullif("g", F.lit("hot")))
+    side = nulls.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    for match in (True, False):
+        wide = attach(nulls, side, ["g"], match_nulls=match, broadcast_bytes=0)
+        narrow = attach(nulls, side, ["g"], match_nulls=match)
+        assert rows(wide) == rows(narrow)
 
 
 def test_first_per_key_limits_before_the_exchange(spark, hot):
