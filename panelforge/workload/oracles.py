@@ -301,9 +301,10 @@ SELECT STATE, {r6("o")} AS OCCUPANCY_RATE_PCT, {r6("h")} AS STAFFING_HOURS,
 FROM kept, moments""",
     "linear_fit": f"""
 WITH {FIT.format(x="l_quantity", y="l_extendedprice", source="lineitem")}
-SELECT {r6("a")} AS SLOPE, {r6("b")} AS INTERCEPT, lo AS X_MIN, hi AS X_MAX FROM fit WHERE lo < hi""",
+SELECT round(a, 3) + 0.0 AS SLOPE, round(b, 3) + 0.0 AS INTERCEPT, lo AS X_MIN, hi AS X_MAX FROM fit WHERE lo < hi""",
     "linear_fit_grid": f"""
-WITH {FIT.format(x="l_quantity", y="l_extendedprice", source="lineitem")} {GRID}""",
+WITH {FIT.format(x="l_quantity", y="l_extendedprice", source="lineitem")}
+{GRID.replace(", 6)", ", 3)")}""",
     "staffing_points": f"""WITH {PANEL}
 SELECT CCN, PROVIDER_NAME, STATE, {r6("OCC")} AS OCCUPANCY_RATE_PCT, {r6("HOURS")} AS {HOURS},
   AVERAGE_NUMBER_OF_RESIDENTS_PER_DAY, NUMBER_OF_CERTIFIED_BEDS

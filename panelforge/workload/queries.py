@@ -90,8 +90,8 @@ def r6(column: Column | str) -> Column:
     return F.round(F.col(column) if isinstance(column, str) else column, 6) + F.lit(0.0)
 
 
-def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: r6(c) for c in columns})
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns})
 
 
 def facility_panel(
@@ -353,14 +353,12 @@ def state_zscore(spark, sf):
 
 def linear_fit_lines(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
-    return rounded(
-        linear_fit(lines, "l_quantity", "l_extendedprice"), "SLOPE", "INTERCEPT", "X_MIN", "X_MAX"
-    )
+    return rounded(linear_fit(lines, "l_quantity", "l_extendedprice"), "SLOPE", "INTERCEPT", digits=3)
 
 
 def linear_fit_grid(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
-    return rounded(trend_line(lines, "l_quantity", "l_extendedprice"), "X", "Y")
+    return rounded(trend_line(lines, "l_quantity", "l_extendedprice"), "X", "Y", digits=3)
 
 
 def staffing_points(spark, sf):
