@@ -4,15 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelforge.llm.fingerprints import fingerprint_edits
+from panelforge.llm.packing import pack
+from panelforge.llm.sharding import interleave
 from panelforge.llm.substrings import remove_repeats
 from panelforge.llm.tables import table
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interleave(table(spark, sf_dir, "documents"), shards=40)
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), digest=True)
 
 
-QUERIES = {"op4_substring_dedup": op4_substring_dedup}
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_sharding,
+        op3_best_fit_packing,
+        op4_substring_dedup,
+        op10_document_fingerprints,
+    )
+}
 
 ORACLES = {
     "op4_substring_dedup": r"""
