@@ -34,7 +34,12 @@ HASHES = 5
 # Overlap counts from so much of the way between chance and complete.
 CUTOFF = 0.3
 
+# Texts of fewer code points are described by their short windows instead.
+SHORT_TEXT = 400
+SHORT_WINDOW = 16
+
 _BLOCK = 256 << 10
+_STRIP = 32 << 10
 _SCALE = 4096
 _counts = np.arange(WINDOW + 1, dtype=np.float64)
 _terms = np.round(_SCALE * _counts * np.log2(np.maximum(_counts, 1))).astype(np.int64)
@@ -43,20 +48,35 @@ _TOP = int(_terms[WINDOW])
 _POWERS = mix(np.arange(1, WINDOW + 1).astype(np.uint64)) | np.uint64(1)
 
 
+def _same_nearby(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How often each byte occurs among the 63 before it and the 63 after it."""
+    n, reach = len(data), WINDOW - 1
+    before, after = np.empty(n, np.uint8), np.empty(n, np.uint8)
+    for lo in range(0, n, _STRIP):
+        hi = min(lo + _STRIP, n)
+        left, right = max(lo - reach, 0), min(hi + reach, n)
+        strip = data[left:right]
+        back, ahead = np.zeros(right - left, np.uint8), np.zeros(right - left, np.uint8)
+        same = np.empty(right - left, np.uint8)
+        for k in range(1, min(WINDOW, right - left)):
+            hit = np.equal(strip[k:], strip[:-k], out=same[k:].view(bool)).view(np.uint8)
+            np.add(back[k:], hit, out=back[k:])
+            np.add(ahead[:-k], hit, out=ahead[:-k])
+        before[lo:hi] = back[lo - left : hi - left]
+        after[lo:hi] = ahead[lo - left : hi - left]
+    return before, after
+
+
 def entropy_classes(data: np.ndarray) -> np.ndarray:
     """Entropy of each ``WINDOW`` bytes, from 0 (one value) to 1000 (all different)."""
     n = len(data)
     if n < WINDOW:
         return np.zeros(0, np.int32)
-    before, after = np.zeros(n, np.uint8), np.zeros(n, np.uint8)
-    for k in range(1, WINDOW):
-        same = (data[k:] == data[:-k]).view(np.uint8)
-        before[k:] += same
-        after[:-k] += same
+    before, after = _same_nearby(data)
     step = _GAIN[before]
     step[WINDOW:] -= _GAIN[after[:-WINDOW]]
-    total = np.cumsum(step)[WINDOW - 1 :]
-    return (1000 - total.astype(np.int64) * 1000 // _TOP).astype(np.int32)
+    total = np.cumsum(step, dtype=np.int32)[WINDOW - 1 :]
+    return 1000 - total * np.int32(1000) // np.int32(_TOP)
 
 
 def class_counts(docs: DataFrame) -> np.ndarray:
@@ -91,44 +111,67 @@ def rarity(counts: np.ndarray) -> np.ndarray:
 
 def _inside(offsets: np.ndarray, n: int, width: int) -> np.ndarray:
     """Of n positions: do ``width`` bytes of one text start there?"""
-    edge = np.zeros(n + 1, np.int64)
+    edge = np.zeros(n + 1, np.int8)
     lo, hi = np.minimum(offsets[:-1], n), np.minimum(np.maximum(offsets[1:] - width + 1, offsets[:-1]), n)
-    np.add.at(edge, lo, 1)
-    np.add.at(edge, hi, -1)
-    return np.cumsum(edge)[:n] > 0
+    some = lo < hi
+    edge[lo[some]] += 1
+    edge[hi[some]] -= 1
+    return np.cumsum(edge[:n], dtype=np.int8).view(bool)
+
 
+def _window_codes(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    code = np.zeros(len(at), np.uint64)
+    for k in range(width):
+        code += (data[at + k].astype(np.uint64) + np.uint64(1)) * _POWERS[k]
+    return mix(code)
 
-def _features(data: np.ndarray, offsets: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+
+def _features(data: np.ndarray, offsets: np.ndarray, short: np.ndarray, ranks: np.ndarray):
     """Row and hash of the features of a block of texts, in order."""
     classes = entropy_classes(data)
-    inside = _inside(offsets, len(classes), WINDOW)
-    rank = np.where(inside, ranks[classes], CLASSES)
-    key = rank.astype(np.uint64) << np.uint64(32) | np.arange(len(rank), dtype=np.uint64)
+    n = len(classes)
+    shift, kind = (22, np.uint32) if n <= 1 << 22 else (32, np.uint64)
+    key = (ranks.astype(kind) << kind(shift))[classes]
+    key |= np.arange(n, dtype=kind)
     least = sliding_min(key, WINDOW)
     least = least[_inside(offsets, len(least), 2 * WINDOW - 1)]
-    least = least[least < np.uint64(CLASSES << 32)] & np.uint64(0xFFFFFFFF)
-    votes = np.bincount(least.astype(np.int64), minlength=len(rank)) if len(rank) else np.zeros(0, int)
-    at = np.flatnonzero(votes >= POPULAR)
+    # The chosen place moves forward along the text, so votes for one place follow each other.
+    new = np.flatnonzero(np.append(True, least[1:] != least[:-1])) if len(least) else np.zeros(0, int)
+    votes = np.diff(np.append(new, len(least)))
+    best = least[new[votes >= POPULAR]]
+    at = (best[best >> kind(shift) < CLASSES] & kind((1 << shift) - 1)).astype(np.int64)
     row = np.searchsorted(offsets, at, "right") - 1
-    grid = data[at[:, None] + np.arange(WINDOW)] if len(at) else np.zeros((0, WINDOW), np.uint8)
-    code = mix(((grid.astype(np.uint64) + np.uint64(1)) * _POWERS).sum(axis=1, dtype=np.uint64))
-    # Texts without a feature, among them all short ones, have one: the whole text.
-    bare = np.setdiff1d(np.flatnonzero(np.diff(offsets)), row)
-    whole = np.array(
-        [int.from_bytes(hashlib.blake2b(data[offsets[r] : offsets[r + 1]].tobytes(), digest_size=8).digest(), "little") for r in bare],
-        np.uint64,
-    )
-    order = np.argsort(np.concatenate([row, bare]), kind="stable")
-    return np.concatenate([row, bare])[order], np.concatenate([code, whole])[order]
+    long = ~short[row]
+    at, row = at[long], row[long]
+    code = _window_codes(data, at, WINDOW)
+    # Short texts, and those without a popular window, are described by short windows.
+    bare = np.ones(len(short), bool)
+    bare[row] = False
+    more_at = np.flatnonzero(_inside(offsets, max(len(data) - SHORT_WINDOW + 1, 0), SHORT_WINDOW))
+    more_row = np.searchsorted(offsets, more_at, "right") - 1
+    more_at, more_row = more_at[bare[more_row]], more_row[bare[more_row]]
+    more = _window_codes(data, more_at, SHORT_WINDOW)
+    tiny = np.flatnonzero(bare & (np.diff(offsets) > 0) & (np.diff(offsets) < SHORT_WINDOW))
+    whole = [
+        int.from_bytes(hashlib.blake2b(data[offsets[r] : offsets[r + 1]].tobytes(), digest_size=8).digest(), "little")
+        for r in tiny
+    ]
+    rows = np.concatenate([row, more_row, tiny])
+    order = np.argsort(rows, kind="stable")
+    return rows[order], np.concatenate([code, more, np.array(whole, np.uint64)])[order]
 
 
 def digests(texts: list[str], ranks: np.ndarray) -> list[np.ndarray]:
-    """The chain of Bloom filters of each text, one row of bits a filter; none if empty."""
-    data, offsets = flat(pa.array([t.encode("utf-8", "surrogatepass") for t in texts], pa.binary()).view(pa.string()) if texts else pa.array([], pa.string()))
+    """The chain of Bloom filters of each text, one row of bytes a filter; none if empty."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    offsets = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum([len(r) for r in raw], out=offsets[1:])
+    short = np.array([len(t) < SHORT_TEXT for t in texts], bool)
     out: list[np.ndarray] = []
     for i, j in blocks(offsets, _BLOCK):
         at = offsets[i : j + 1] - offsets[i]
-        row, code = _features(data[offsets[i] : offsets[j]], at, ranks)
+        row, code = _features(data[offsets[i] : offsets[j]], at, short[i:j], ranks)
         count = np.bincount(row, minlength=j - i)
         chain = -(-count // FILTER_FEATURES)
         base = np.cumsum(chain) - chain
@@ -137,18 +180,22 @@ def digests(texts: list[str], ranks: np.ndarray) -> list[np.ndarray]:
         for k in range(HASHES):
             bit = (code >> np.uint64(11 * k) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
             filters[base[row] + nth // FILTER_FEATURES, bit] = True
-        out += [filters[b : b + c] for b, c in zip(base.tolist(), chain.tolist())]
+        packed = np.packbits(filters, axis=1)
+        out += [packed[b : b + c] for b, c in zip(base.tolist(), chain.tolist())]
     return out
 
 
 def to_text(filters: np.ndarray) -> str:
     """The digest as a string: the filters' bits in hexadecimal, one after another."""
-    return np.packbits(filters, axis=1).tobytes().hex()
+    return filters.tobytes().hex()
 
 
 def from_text(text: str) -> np.ndarray:
-    raw = np.frombuffer(bytes.fromhex(text), np.uint8).reshape(-1, FILTER_BITS // 8)
-    return np.unpackbits(raw, axis=1).astype(bool)
+    return np.frombuffer(bytes.fromhex(text), np.uint8).reshape(-1, FILTER_BITS // 8)
+
+
+def _ones(packed: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(np.ascontiguousarray(packed).view(np.uint64)).sum(axis=-1, dtype=np.int64)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -157,16 +204,19 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
         return float(len(a) == len(b))
     if a.shape == b.shape and np.array_equal(a, b):
         return 1.0
-    x, y = a.astype(np.float32), b.astype(np.float32)
-    nx, ny = x.sum(axis=1), y.sum(axis=1)
+    if len(a) > len(b):
+        a, b = b, a
+    nx, ny = _ones(a), _ones(b)
+    common = np.stack([_ones(x & b) for x in a])
     most = np.minimum(nx[:, None], ny)
     chance = nx[:, None] * ny / FILTER_BITS
     floor = chance + CUTOFF * (most - chance)
-    score = np.clip((x @ y.T - floor) / np.maximum(most - floor, 1e-6), 0, 1)
-    one, other = float((score.max(axis=1) * nx).sum() / nx.sum()), float((score.max(axis=0) * ny).sum() / ny.sum())
-    # Of the shorter chain; of both if equally long.
-    value = one if len(a) < len(b) else other if len(b) < len(a) else (one + other) / 2
-    return round(value, 6)
+    score = np.clip((common - floor) / np.maximum(most - floor, 1e-6), 0, 1)
+    # How well the filters of the shorter chain are found; both ways if equally long.
+    value = (score.max(axis=1) * nx).sum() / nx.sum()
+    if len(a) == len(b):
+        value = (value + (score.max(axis=0) * ny).sum() / ny.sum()) / 2
+    return round(float(value), 6)
 
 
 def edited(text: str, following: str) -> str:
@@ -182,8 +232,8 @@ def fingerprint_edits(docs: DataFrame, slices: int | None = None) -> DataFrame:
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     Null text counts as empty; an empty text has the empty fingerprint, which is like itself
-    alone. Texts under 64 bytes, or without a popular window, have the whole text as their one
-    feature. Rows with equal doc_id follow each other by the hash of their texts, rows without
+    alone. Texts under 400 code points, or without a popular window, have all their 16-byte windows as
+    features, and texts under 16 bytes the whole text. Rows with equal doc_id follow each other by the hash of their texts, rows without
     doc_id come last. A table of one row is its own next. Other columns are not looked at.
     """
     ranks = rarity(class_counts(docs))
