@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from panelforge.llm.decontamination import find_items
 from panelforge.llm.fingerprints import fingerprint_edits
+from panelforge.llm.lines import remove_repeated_lines
 from panelforge.llm.packing import pack
 from panelforge.llm.sharding import interleave
 from panelforge.llm.substrings import remove_repeats
@@ -23,6 +26,20 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("_lines", F.size(F.split("text", "\n")))
+    return remove_repeated_lines(docs).select(
+        F.col("row.doc_id"),
+        F.when(F.col("row.text").isNull(), 0).otherwise(F.col("row._lines")).alias("n_lines"),
+        "n_removed",
+        F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -33,6 +50,8 @@ QUERIES = {
         op2_sharding,
         op3_best_fit_packing,
         op4_substring_dedup,
+        op6_benchmark_decontamination,
+        op8_line_dedup,
         op10_document_fingerprints,
     )
 }
