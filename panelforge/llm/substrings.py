@@ -36,7 +36,9 @@ BUCKET_BYTES = 6 << 20
 HOT_RUNS = 20_000
 
 _BLOCK = 2 << 20
-_FINE = 64
+_FINE = 16
+# Super-k-mers counted in memory before their counts are passed on.
+_PENDING = 2_000_000
 _CODEC = pa.Codec("zstd", compression_level=1)
 
 
@@ -180,13 +182,23 @@ def repeated_spans(
     fine = buckets * _FINE
 
     def count(batches):
+        pending, waiting = [], 0
         for runs, _, _ in _each_block(batches, width, seed):
-            bucket, n = np.unique(runs.low % np.uint64(fine), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket.astype(np.int64)), pa.array(n.astype(np.int64))], ["fine", "n"]
-            )
-
-    # Each hot sub-bucket has at least 16 times the mean: there are at most four a bucket.
+            pending.append(runs.low % np.uint64(fine))
+            waiting += len(runs.low)
+            if waiting > _PENDING:
+                yield counted(pending)
+                pending, waiting = [], 0
+        if pending:
+            yield counted(pending)
+
+    def counted(pending: list[np.ndarray]) -> pa.RecordBatch:
+        bucket, n = np.unique(np.concatenate(pending), return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket.astype(np.int64)), pa.array(n.astype(np.int64))], ["fine", "n"]
+        )
+
+    # A hot sub-bucket has over 16 times the mean: there is at most one a bucket.
     loads = freeze(
         source.mapInArrow(count, "fine long, n long").groupBy("fine").agg(F.sum("n").alias("n"))
     )
