@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelforge.llm.decontamination import find_items
 from panelforge.llm.fingerprints import fingerprint_edits
 from panelforge.llm.lines import remove_repeated_lines
+from panelforge.llm.neardup import near_duplicates
 from panelforge.llm.packing import pack
 from panelforge.llm.sharding import interleave
 from panelforge.llm.substrings import remove_repeats
@@ -30,6 +31,10 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "keep")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("_lines", F.size(F.split("text", "\n")))
     return remove_repeated_lines(docs).select(
@@ -51,6 +56,7 @@ QUERIES = {
         op3_best_fit_packing,
         op4_substring_dedup,
         op6_benchmark_decontamination,
+        op7_minhash_near_dedup,
         op8_line_dedup,
         op10_document_fingerprints,
     )
