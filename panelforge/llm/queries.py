@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelforge.llm.decontamination import find_items
 from panelforge.llm.fingerprints import fingerprint_edits
+from panelforge.llm.language import predict_language
 from panelforge.llm.lines import remove_repeated_lines
 from panelforge.llm.neardup import near_duplicates
 from panelforge.llm.packing import pack
@@ -15,6 +16,10 @@ from panelforge.llm.substrings import remove_repeats
 from panelforge.llm.tables import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_language(table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave(table(spark, sf_dir, "documents"), shards=40)
 
@@ -52,6 +57,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_language_id,
         op2_sharding,
         op3_best_fit_packing,
         op4_substring_dedup,
