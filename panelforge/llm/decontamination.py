@@ -230,6 +230,19 @@ def _finder(spark, block, least, coverage):
     return find
 
 
+def _holds(index, coverage, least):
+    @F.pandas_udf("boolean")
+    def holds(texts: pd.Series) -> pd.Series:
+        values = texts.tolist()
+        out = np.zeros(len(values), bool)
+        for lo in range(0, len(values), _DOCS):
+            for r, *_ in index.value.found(values[lo : lo + _DOCS], coverage, least):
+                out[lo + r] = True
+        return pd.Series(out)
+
+    return holds
+
+
 def without_items(
     docs: DataFrame,
     items: DataFrame,
@@ -243,16 +256,6 @@ def without_items(
     for block in _blocks(items, block_chars):
         if not block:
             continue
-        index = spark.sparkContext.broadcast(_Index(block, least))
-
-        @F.pandas_udf("boolean")
-        def holds(texts: pd.Series, index=index) -> pd.Series:
-            values = texts.tolist()
-            out = np.zeros(len(values), bool)
-            for lo in range(0, len(values), _DOCS):
-                for r, *_ in index.value.found(values[lo : lo + _DOCS], coverage, least):
-                    out[lo + r] = True
-            return pd.Series(out)
-
+        holds = _holds(spark.sparkContext.broadcast(_Index(block, least)), coverage, least)
         clean = clean.where(~holds("text"))
     return clean

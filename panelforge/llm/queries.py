@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelforge.llm.decontamination import find_items
 from panelforge.llm.fingerprints import fingerprint_edits
+from panelforge.llm.html import extract
 from panelforge.llm.language import predict_language
 from panelforge.llm.lines import remove_repeated_lines
 from panelforge.llm.neardup import near_duplicates
@@ -14,6 +15,7 @@ from panelforge.llm.packing import pack
 from panelforge.llm.sharding import interleave
 from panelforge.llm.substrings import remove_repeats
 from panelforge.llm.tables import table
+from panelforge.llm.tokens import count_with_edits
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +34,20 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three edits a document: a twentieth is cut from the middle, eight code points are replaced by the
+    last eight, and the first twenty are added at the end."""
+    docs = table(spark, sf_dir, "documents")
+    edits = F.expr("""
+        transform(array(char_length(coalesce(text, ''))), n -> array(
+            struct(n div 4 AS start, least(n div 4 + 8, n div 2) AS end, right(text, 8) AS insert),
+            struct(n div 2 AS start, n div 2 + n div 20 AS end, '' AS insert),
+            struct(n AS start, n AS end, left(text, 20) AS insert)
+        ))[0]
+    """)
+    return count_with_edits(docs, edits)
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,6 +66,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -61,9 +81,11 @@ QUERIES = {
         op2_sharding,
         op3_best_fit_packing,
         op4_substring_dedup,
+        op5_token_counts,
         op6_benchmark_decontamination,
         op7_minhash_near_dedup,
         op8_line_dedup,
+        op9_html_extraction,
         op10_document_fingerprints,
     )
 }
