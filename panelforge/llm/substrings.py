@@ -48,9 +48,9 @@ class _Runs:
     def __init__(self, data: np.ndarray, offsets: np.ndarray, width: int, seed: int):
         words = Words(data, offsets)
         low = sliding_min(rolling(words.hashes(), seed), width - seed + 1)
-        room = words.room(width)[: len(low)]
+        room, doc = words.room(width)[: len(low)], words.doc[: len(low)]
         opens, closes = room.copy(), room.copy()
-        same = (low[1:] == low[:-1]) & room[1:] & room[:-1] & (words.doc[1 : len(low)] == words.doc[: len(low) - 1])
+        same = (low[1:] == low[:-1]) & room[1:] & room[:-1] & (doc[1:] == doc[:-1])
         opens[1:] &= ~same
         closes[:-1] &= ~same
         self.words, self.first = words, np.flatnonzero(opens)
