@@ -34,10 +34,9 @@ def in_slices(docs: DataFrame, slices: int | None = None) -> DataFrame:
         row_key(F.col("text")).alias("_key"),
         "text",
     )
-    cuts = docs.select(F.col("doc_id").cast("double").alias("d")).approxQuantile(
-        "d", [i / slices for i in range(1, slices)], 1 / (4 * slices)
-    )
-    edges = np.unique(np.array(cuts, np.float64).astype(np.int64))
+    shares = [i / slices for i in range(1, slices)] or [0.5]
+    cuts = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), shares, 10 * slices)).first()[0]
+    edges = np.unique(np.array(cuts or [], np.int64))
 
     @F.pandas_udf("int")
     def slice_of(order: pd.Series) -> pd.Series:
