@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from panelforge.runtime import freeze
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Does every node point to one root, and no root anywhere?"""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("points"), F.lit(0).alias("root")).unionByName(
+        edges.select(F.col("b").alias("v"), F.lit(0).alias("points"), F.lit(1).alias("root"))
+    )
+    nodes = ends.groupBy("v").agg(F.sum("points").alias("points"), F.max("root").alias("root"))
+    return nodes.where("points + root > 1").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,15 +27,12 @@ def components(edges: DataFrame) -> DataFrame:
     Each round is a written table. Self-loops and repeated edges are ignored.
     """
     low, high = F.least("a", "b"), F.greatest("a", "b")
-    edges = freeze(
-        edges.where("a <> b").select(high.alias("a"), low.alias("b")).distinct()
-    )
-    state = _state(edges)
-    while True:
+    edges = freeze(edges.where("a <> b").select(high.alias("a"), low.alias("b")).distinct())
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = freeze(
-            both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+            both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         )
         smallest = large.groupBy("a").agg(F.min("b").alias("m"))
         edges = freeze(
@@ -38,11 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
             .where("b <> m")
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(smallest.select("a", F.col("m").alias("b")))
-            .where("a <> b")
             .distinct()
         )
-        before, state = state, _state(edges)
-        if state == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            )
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )

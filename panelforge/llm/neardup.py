@@ -12,8 +12,9 @@ Scale and skew. Equal texts are one class from the start, so copies never meet i
 of up to ``small`` classes every pair is a candidate, and buckets with equal members count once. In a
 larger bucket every class is compared with one centre, the member that shares most
 buckets with others; only classes that this leaves outside the centre's group are then
-compared with the bucket, in blocks of bounded size and by signature first. So nothing is
-capped, no bucket is gathered, and a large group of near copies costs one pair per member.
+compared with the bucket, in blocks of bounded size, where the shared shingles of all pairs are
+counted at once and only links that join groups leave the task. So nothing is capped, no
+bucket is gathered, and a large group of near copies costs one pair per member.
 """
 
 from __future__ import annotations
@@ -39,8 +40,10 @@ REGISTERS = 127
 BANDS, ROWS = 25, 5
 SMALL_BUCKET = 16
 BLOCK_ROWS = 512
+BLOCK_BYTES = 8 << 20
 
 _TEXT_BLOCK = 1 << 20
+_COLUMNS = 4096
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.arange(1, REGISTERS + 1).astype(np.uint64) * _GOLDEN
 
@@ -187,14 +190,19 @@ def _verify(threshold: float):
     return check
 
 
+def _listed(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Shingles of the given texts alone: h, codes, counts."""
+    return freeze(
+        attach(texts, nodes, ["h"], how="left_semi")
+        .mapInArrow(_list_shingles, "h binary, codes binary, counts binary")
+        .dropDuplicates(["h"])
+    )
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts are similar. Shingles are listed for texts of pairs only."""
+    """The pairs (a, b) whose texts are similar."""
     nodes = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
-    listed = freeze(
-        attach(texts, nodes, ["h"], how="left_semi").mapInArrow(
-            _list_shingles, "h binary, codes binary, counts binary"
-        ).dropDuplicates(["h"])
-    )
+    listed = _listed(nodes, texts)
 
     def side(name: str) -> DataFrame:
         return listed.select(
@@ -205,11 +213,64 @@ def _linked(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return freeze(joined.mapInPandas(_verify(threshold), "a binary, b binary"))
 
 
-def _outside(members: DataFrame, sigs: DataFrame, roots: DataFrame, centres: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs of large buckets with a class outside the centre's group.
-
-    Each is compared with the whole bucket by signature, in blocks of at most about
-    BLOCK_ROWS squared, and passes within four standard deviations of the threshold.
+def _shared(x: list[tuple], y: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """For each of x and each of y (codes, counts): how many codes they have in common, and at most
+    what their probability Jaccard similarity is (the smaller share of weight in common)."""
+    both = [*x, *y]
+    values, column = np.unique(np.concatenate([c for c, _ in both]), return_inverse=True)
+    rows = np.repeat(np.arange(len(both)), [len(c) for c, _ in both])
+    weight = np.concatenate([n / n.sum() for _, n in both])
+    often = np.bincount(column, minlength=len(values)) > 1
+    number = np.cumsum(often) - 1
+    kept = np.flatnonzero(often[column])
+    kept = kept[np.argsort(number[column[kept]], kind="stable")]
+    rows, column, weight = rows[kept], number[column[kept]], weight[kept]
+    count, mass_x, mass_y = (np.zeros((len(x), len(y)), np.float32) for _ in range(3))
+    for lo in range(0, int(often.sum()), _COLUMNS):
+        part = slice(*np.searchsorted(column, (lo, lo + _COLUMNS)))
+        has = np.zeros((len(both), _COLUMNS), np.float32)
+        has[rows[part], column[part] - lo] = 1
+        count += has[: len(x)] @ has[len(x) :].T
+        share = np.zeros_like(has)
+        share[rows[part], column[part] - lo] = weight[part]
+        mass_x += share[: len(x)] @ has[len(x) :].T
+        mass_y += has[: len(x)] @ share[len(x) :].T
+    return count, np.minimum(mass_x, mass_y)
+
+
+def _join_groups(some: pd.DataFrame, every: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Links between two blocks that join different groups, enough of them to join all that
+    are linked."""
+    x = [_weighted(c, n) for c, n in zip(some["codes"], some["counts"])]
+    y = [_weighted(c, n) for c, n in zip(every["codes"], every["counts"])]
+    shared, most = _shared(x, y)
+    sizes_x, sizes_y = (np.array([len(c) for c, _ in v], np.float32) for v in (x, y))
+    jaccard = shared / np.maximum(sizes_x[:, None] + sizes_y - shared, 1)
+    group: dict[bytes, bytes] = {}
+
+    def find(g: bytes) -> bytes:
+        while group.get(g, g) != g:
+            g = group[g]
+        return g
+
+    a, b = [], []
+    roots_x, roots_y = some["root"].tolist(), every["root"].tolist()
+    ids_x, ids_y = some["h"].tolist(), every["h"].tolist()
+    # The exact similarities decide; these only leave out pairs that cannot reach the threshold.
+    for i, j in np.argwhere((jaccard >= threshold - 1e-4) | (most >= threshold - 1e-4)).tolist():
+        one, other = find(roots_x[i]), find(roots_y[j])
+        if one != other and max(similarity(x[i], y[j])) >= threshold:
+            group[one] = other
+            a.append(min(ids_x[i], ids_y[j]))
+            b.append(max(ids_x[i], ids_y[j]))
+    return pd.DataFrame({"a": a, "b": b})
+
+
+def _outside(members: DataFrame, texts: DataFrame, roots: DataFrame, centres: DataFrame, threshold: float) -> DataFrame:
+    """More links of large buckets with a class outside the centre's group.
+
+    Each such class is compared with its whole bucket, in blocks of at most BLOCK_ROWS rows and about
+    BLOCK_BYTES of shingles, so a task's work is bounded whatever the bucket's size.
     """
     rooted = (
         members.join(roots.withColumnRenamed("node", "h"), "h", "left")
@@ -217,43 +278,41 @@ def _outside(members: DataFrame, sigs: DataFrame, roots: DataFrame, centres: Dat
         .join(centres.join(roots.withColumnRenamed("node", "centre"), "centre", "left")
               .select("code", F.coalesce("root", "centre").alias("main")), "code")
     )
-    rest = freeze(rooted.where("root <> main").select("code", "h", "root"))
-    rest_sizes = rest.groupBy("code").agg(F.count(F.lit(1)).alias("rest"))
-    left = attach(rooted, rest_sizes, ["code"], how="inner").select("code", "h", "root", "n", "rest")
+    rooted = freeze(rooted.select("code", "h", "root", (F.col("root") != F.col("main")).alias("out")))
+    open_ = rooted.where("out").select("code").distinct()
+    left = freeze(attach(rooted, open_, ["code"], how="left_semi"))
+    # Buckets with the same classes are compared once.
+    same = left.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("h")).alias("set"))
+    once = same.groupBy("n", "set").agg(F.min("code").alias("code")).select("code")
+    left = attach(left, once, ["code"], how="left_semi").join(_listed(left.select("h").distinct(), texts), "h")
+    sizes = left.groupBy("code").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.octet_length("codes")).alias("bytes"),
+        F.count_if("out").alias("n_out"),
+        F.sum(F.when(F.col("out"), F.octet_length("codes")).otherwise(0)).alias("bytes_out"),
+    )
+    parts = lambda n, size: F.greatest(F.ceil(F.col(n) / BLOCK_ROWS), F.ceil(F.col(size) / BLOCK_BYTES))
     split = freeze(
-        left.join(sigs, "h")
-        .withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS))
-        .withColumn("rest_blocks", F.ceil(F.col("rest") / BLOCK_ROWS))
+        left.join(sizes, "code").withColumn("blocks", parts("n", "bytes")).withColumn("out_blocks", parts("n_out", "bytes_out"))
+    )
+    columns = ["code", "i", "j", "h", "root", "codes", "counts"]
+    every = split.withColumn("j", F.pmod(F.xxhash64("h"), F.col("blocks"))).withColumn(
+        "i", F.explode(F.expr("sequence(0L, out_blocks - 1)"))
     )
-    own = F.pmod(F.xxhash64("h"), F.col("blocks"))
-    all_rows = split.withColumn("j", own).withColumn("i", F.explode(F.expr("sequence(0L, rest_blocks - 1)")))
-    rest_own = F.pmod(F.xxhash64("h", F.lit(1)), F.col("rest_blocks"))
-    rest_rows = (
-        attach(split, rest.select("code", "h"), ["code", "h"], how="left_semi")
-        .withColumn("i", rest_own)
+    some = (
+        split.where("out")
+        .withColumn("i", F.pmod(F.xxhash64("h", F.lit(1)), F.col("out_blocks")))
         .withColumn("j", F.explode(F.expr("sequence(0L, blocks - 1)")))
     )
-    columns = ["code", "i", "j", "h", "root", "sig"]
     # Both sides come from one table; new names keep their columns apart.
-    names = [f"_{c}" for c in columns]
-    rest_rows = rest_rows.select(*(F.col(c).alias(n) for c, n in zip(columns, names)))
-    least = REGISTERS * (threshold - 4 * (threshold * (1 - threshold) / REGISTERS) ** 0.5)
-
-    def compare(some: pd.DataFrame, every: pd.DataFrame) -> pd.DataFrame:
-        out_a, out_b = [], []
-        some = some.set_axis(columns, axis=1)
-        y = np.frombuffer(b"".join(every["sig"]), np.uint16).reshape(-1, REGISTERS)
-        for h, root, sig in zip(some["h"], some["root"], some["sig"]):
-            near = (y == np.frombuffer(sig, np.uint16)).sum(axis=1) >= least
-            for other, its in zip(every["h"].to_numpy()[near], every["root"].to_numpy()[near]):
-                if its != root:
-                    out_a.append(min(h, other))
-                    out_b.append(max(h, other))
-        return pd.DataFrame({"a": out_a, "b": out_b})
-
-    return (
-        rest_rows.groupBy("_code", "_i", "_j")
-        .cogroup(all_rows.select(columns).groupBy("code", "i", "j"))
+    some = some.select(*(F.col(c).alias(f"_{c}") for c in columns))
+
+    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        return _join_groups(x.set_axis(columns, axis=1), y, threshold)
+
+    return freeze(
+        some.groupBy("_code", "_i", "_j")
+        .cogroup(every.select(columns).groupBy("code", "i", "j"))
         .applyInPandas(compare, "a binary, b binary")
         .distinct()
     )
@@ -309,9 +368,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, small: int =
     links = _linked(freeze(few.unionByName(star).distinct()), texts, threshold)
     roots = components(links)
     if not centres.isEmpty():
-        more = freeze(_outside(many, sigs, roots, centres, threshold))
+        more = _outside(many, texts, roots, centres, threshold)
         if not more.isEmpty():
-            roots = components(links.unionByName(_linked(more, texts, threshold)))
+            # Groups so far are stars; the new links join some of them.
+            roots = components(
+                roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
+            )
 
     grouped = classes.select("h", "first").join(roots.withColumnRenamed("node", "h"), "h", "left").withColumn(
         "root", F.coalesce("root", "h")
