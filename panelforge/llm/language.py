@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelforge.llm.words import blocks, flat
+from panelforge.llm.words import blocks, flat, give_back
 
 WINDOW = 128
 HIDDEN = 8
@@ -318,6 +318,8 @@ def in_known_language(
         data, offsets = flat(letters)
         if not known.value.languages:
             return pa.array((np.diff(offsets) > 0).astype(float))
-        return pa.array(np.round(known.value.documents(data, offsets), 4).max(axis=1, initial=0.0))
+        scores = np.round(known.value.documents(data, offsets), 4).max(axis=1, initial=0.0)
+        give_back()
+        return pa.array(scores)
 
     return docs.where(best(F.when(F.col("text").rlike(r"\p{L}"), F.col("text"))) >= least_score)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.tables import row_key
-from panelforge.llm.words import mix
+from panelforge.llm.words import give_back, mix
 from panelforge.operators.joins import attach
 from panelforge.runtime import freeze
 
@@ -89,6 +89,8 @@ def repeated_chunks(docs: DataFrame, spacing: int = SPACING, least: int = LEAST_
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "key", "number", "code", "body"]
             )
+            del batch, rows, columns
+        give_back()
 
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
     found = freeze(

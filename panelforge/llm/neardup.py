@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.components import components
-from panelforge.llm.words import blocks, mix, rolling, token_hashes
+from panelforge.llm.words import blocks, give_back, mix, rolling, token_hashes
 from panelforge.operators.joins import attach
 from panelforge.operators.topk import first_per_key
 from panelforge.runtime import freeze
@@ -140,6 +140,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("h"), pa.array(out, pa.binary())], ["doc_id", "h", "sig"]
         )
+        del batch, texts, out
+    give_back()
 
 
 def _band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,6 +173,8 @@ def _list_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             [batch.column("h"), pa.array(codes_out, pa.binary()), pa.array(counts_out, pa.binary())],
             ["h", "codes", "counts"],
         )
+        del batch, texts, codes_out, counts_out
+    give_back()
 
 
 def _weighted(codes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:

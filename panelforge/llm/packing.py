@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.llm.words import give_back
 from panelforge.operators.rank import rank_rows
 from panelforge.runtime import freeze
 
@@ -35,7 +36,7 @@ END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 
 # Entries kept per task process: texts between blanks, and their plain cores.
-_CACHED, _CACHED_CORES = 250_000, 600_000
+_CACHED, _CACHED_CORES = 80_000, 400_000
 _CACHED_LENGTH = 64
 
 # Latin letters with ASCII punctuation but no apostrophe behind them: two pre-tokens, encoded one by one.
@@ -50,7 +51,7 @@ def vocabulary_path() -> str:
 
 class _Kept(dict):
     """A bounded store of what ``make`` gives: once full it stays, so that common entries
-    remain, until as many lookups have missed as it holds; then it starts anew."""
+    remain, until four times as many lookups have missed as it holds; then it starts anew."""
 
     def __init__(self, make, size: int):
         super().__init__()
@@ -63,7 +64,7 @@ class _Kept(dict):
                 self[part] = out
         else:
             self.missed += 1
-            if self.missed > self.size:
+            if self.missed > 4 * self.size:
                 self.clear()
                 self.missed = 0
         return out
@@ -129,6 +130,8 @@ def pieces(
             columns = list(zip(*rows)) if rows else [[]] * 6
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays(arrays, names)
+            del rows, columns, arrays
+        give_back()
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]

@@ -8,6 +8,7 @@ by the operators.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import cache
 
@@ -41,6 +42,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def give_back() -> None:
+    """Return memory that Arrow and the C library keep for reuse: the process lives on and serves
+    other operators, next to the JVM, within one executor's limit."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the n + 1 offsets of its rows; null is empty."""
     if isinstance(texts, pa.ChunkedArray):
