@@ -21,7 +21,8 @@ HEADLINE = (
     "occupancy_trend staffing_vs_occupancy low_staffing_ranking rank_national_state "
     "latest_per_key nearest_join readmission_correlation state_month_avg kpis state_zscore "
     "linear_fit_grid topn_lowest top_states turnover_trend histogram group_corr "
-    "manifest_diff mirror_actions tree_paths duplicate_keys incremental_stream"
+    "manifest_diff mirror_actions tree_paths duplicate_keys incremental_stream "
+    "mirror_runs gold_roundtrip bootstrap_plan manifest_state_json mirror_swaps restated_release"
 ).split()
 
 

@@ -41,6 +41,10 @@ def month_text(d: Column) -> Column:
 STRENGTH_BOUNDS = ((0.20, "very weak"), (0.40, "weak"), (0.60, "moderate"), (0.80, "strong"))
 STRENGTH_TOP = "very strong"
 NO_CORRELATION = "Not enough data to calculate a correlation."
+ONE_FACILITY = (
+    "A Pearson correlation cannot be calculated for one facility. Select All Facilities to "
+    "view the national or selected-state correlation."
+)
 ZERO_CORRELATION = "There is essentially no linear relationship in this population."
 STRENGTH_SENTENCE = (
     "This is a %s %s linear relationship. Correlation does not establish causation."

@@ -61,6 +61,10 @@ def tree_paths(listing: DataFrame, root_id: str) -> DataFrame:
             "file_id", "parent_id", "name"
         )
     )
+    again = folders.groupBy("file_id").count().where("count > 1").first()
+    if again:
+        # Under two parents it would be walked twice, or round and round.
+        raise ValueError(f"folder {again['file_id']!r} is listed more than once")
     spark = listing.sparkSession
     level = spark.createDataFrame([(root_id, "", 0)], "parent_id string, base string, depth int")
     parents, size, level_size = level, 0, 0
@@ -202,12 +206,21 @@ def cleanup(changes: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def actions(changes: DataFrame, new: DataFrame) -> DataFrame:
+# Where the sources of copies wait that the same run overwrites.
+STAGING = ".staging/"
+
+
+def actions(changes: DataFrame, new: DataFrame, staging: str = STAGING) -> DataFrame:
     """What the mirror has to do, one row per step.
 
     ``step`` orders the steps: folder markers, shallowest first, then new files, moved
     files, files changed in place, deletions. ``counts_as`` names the counters a step adds
     to; deleting the old key of a moved item adds to none.
+
+    The mirror is changed while the steps run. A copy whose source is also written in this
+    run (swapped, passed on or reused keys) would read what another step has put there, so
+    such sources are first staged (step 0) under ``staging`` and the file id, the copy reads
+    them there, and they are unstaged at the end (step 6).
     """
     folder = F.col("type") == "folder"
     kind = F.col("change_type")
@@ -247,7 +260,34 @@ def actions(changes: DataFrame, new: DataFrame) -> DataFrame:
         "s3_key",
         F.when(F.col("reason") == "removed", F.lit("deleted")).otherwise(F.lit("")).alias("counts_as"),
     )
-    return upserts.unionByName(deletions)
+    written = upserts.select("s3_key").distinct()
+    waiting = (
+        upserts.where(F.col("action") == "copy")
+        .join(written.withColumnRenamed("s3_key", "source_key"), "source_key", "left_semi")
+        .select("file_id", "source_key", F.concat(F.lit(staging), "file_id").alias("staged"))
+    )
+    moved = (
+        upserts.join(waiting.select("file_id", "staged"), "file_id", "left")
+        .withColumn("source_key", F.coalesce("staged", "source_key"))
+        .select(upserts.columns)
+    )
+
+    def extra(step: int, action: str, source) -> DataFrame:
+        return waiting.select(
+            "file_id",
+            F.lit(step).alias("step"),
+            F.lit(0).alias("depth"),
+            F.lit(action).alias("action"),
+            source.alias("source_key"),
+            F.col("staged").alias("s3_key"),
+            F.lit("").alias("counts_as"),
+        )
+
+    return (
+        moved.unionByName(deletions)
+        .unionByName(extra(0, "stage", F.col("source_key")))
+        .unionByName(extra(6, "unstage", F.lit(None).cast("string")))
+    )
 
 
 def in_step_order(steps: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.functions.measures import (
+    ONE_FACILITY,
     facility_label,
     month_text,
     number_text,
@@ -168,7 +169,9 @@ def scope_correlation(
         F.lit(title).alias("TITLE"),
         "CORRELATION",
         number_text(F.col("CORRELATION"), 3).alias("CORRELATION_TEXT"),
-        strength_text(F.col("CORRELATION")).alias("SENTENCE"),
+        (F.lit(ONE_FACILITY) if ccn is not None else strength_text(F.col("CORRELATION"))).alias(
+            "SENTENCE"
+        ),
     )
 
 

@@ -24,7 +24,7 @@ from panelforge.operators.manifest import (
     run_counts,
     tree_paths,
 )
-from panelforge.runtime import freeze
+from panelforge.runtime import freeze, freeze_measured
 from panelforge.sources.state import SCHEMA_VERSION, StateStore
 
 APPLICABLE = ("added", "moved", "removed", "content_changed")
@@ -80,7 +80,8 @@ def mirror(
 
     if state.folder_id != root_id:
         raise ValueError(f"the saved state belongs to folder {state.folder_id!r}")
-    records = feed.count()
+    # Read once: what is counted is what is planned from, even if the feed grows meanwhile.
+    feed, records, _ = freeze_measured(feed.select("fileId"))
     if not records:
         manifest, crawl = None, None
         if state.schema_version < SCHEMA_VERSION:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 import datetime
+import re
+from collections import Counter
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -30,8 +33,6 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
 }
-# Header rows read at the same time.
-HEADER_READERS = 16
 
 
 def csv_glob(folder: str) -> str:
@@ -86,10 +87,35 @@ def discover(spark: SparkSession, folder: str, family: SnapshotFamily) -> list[S
 
 
 def _headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, ...]]:
-    """Raw header of each file: a one-row read per file, several at a time."""
-    read = spark.read.options(**CSV_OPTIONS)
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        return list(pool.map(lambda p: tuple(read.csv(p).columns), paths))
+    """Raw header of each file, by one job over all of them.
+
+    The first line of a file is the one with the least row number in its first split; each
+    task keeps one line per file. Names are made unique as Spark's CSV reader does it.
+    """
+    lines = spark.read.text(list(paths))
+    first = (
+        lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
+        .withColumn("at", F.monotonically_increasing_id())
+        .where("file_block_start = 0")
+        .groupBy("file_path")
+        .agg(F.min(F.struct("at", "value")).alias("line"))
+        .select("file_path", "line.value")
+    )
+    found = {_plain_path(r["file_path"]): r["value"] for r in first.collect()}
+    return [_header_names(found.get(_plain_path(p), "")) for p in paths]
+
+
+def _plain_path(path: str) -> str:
+    """A path without scheme and escapes, as listing and reading spell these differently."""
+    return re.sub(r"^[a-z][a-z0-9+.-]*:/*", "/", unquote(path))
+
+
+def _header_names(line: str) -> tuple[str, ...]:
+    names = next(csv.reader([line.lstrip("\ufeff")]), []) if line else []
+    seen = Counter(n.lower() for n in names)
+    return tuple(
+        f"_c{i}" if not n else f"{n}{i}" if seen[n.lower()] > 1 else n for i, n in enumerate(names)
+    )
 
 
 def read_snapshots(

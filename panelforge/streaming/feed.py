@@ -15,6 +15,9 @@ from panelforge.sources.state import StateStore
 # Fields of a change record.
 CHANGE = columns("fileId string, removed boolean, time string")
 
+# Spark forgets files this much older than the newest one; back-filled files may be years old.
+ANY_AGE = "36500d"
+
 
 def feed_stream(
     spark: SparkSession,
@@ -28,16 +31,23 @@ def feed_stream(
 ) -> StreamingQuery:
     """Mirror the tree for every new set of change records and stop.
 
-    The batch number is the cursor. A batch whose state was already committed before the
-    stream could note it as done is recognised by that number and skipped.
+    The cursor is the identity of the checkpoint with the batch number. A batch whose state
+    was already committed before the stream could note it as done is recognised by that and
+    skipped; with a new checkpoint all records are read again and acted on. Record files
+    count however old they are.
     """
-    records = spark.readStream.schema(CHANGE).json(feed_folder)
+    records = (
+        spark.readStream.schema(CHANGE).option("maxFileAge", ANY_AGE).json(feed_folder)
+    )
 
     def reconcile(batch: DataFrame, batch_id: int) -> None:
+        # Spark writes this file with the checkpoint, before the first batch.
+        stream = spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()
+        token = f"{stream['id']}:{batch_id}"
         state = store.read()
-        if state is None or state.page_token != str(batch_id):
+        if state is None or state.page_token != token:
             with scratch_scope(spark):
-                mirror(store, root_id, prefix, listing, batch, lambda: str(batch_id), apply)
+                mirror(store, root_id, prefix, listing, batch, lambda: token, apply)
 
     return (
         records.writeStream.foreachBatch(reconcile)

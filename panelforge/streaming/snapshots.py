@@ -3,24 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from panelforge.functions.dictionaries import SnapshotFamily
+from panelforge.functions.dictionaries import PROCESSED_AT, SnapshotFamily
+from panelforge.runtime import freeze
 from panelforge.schemas import columns
 from panelforge.sources.snapshots import (
+    SILVER_LAYOUT,
     csv_glob,
+    list_snapshots,
     matching,
     resolve,
     silver,
     with_month,
     write_silver_by_file,
 )
+from panelforge.sources.state import hadoop_path, path_exists
 
 # Columns of Spark's binaryFile source. Only names are selected; contents are pruned.
 FILES = columns(
     "path string, modificationTime timestamp, length long, content binary"
 )
 
+# Spark forgets files this much older than the newest one; back-filled months are years old.
+ANY_AGE = "36500d"
+
 
 def snapshot_stream(
     spark: SparkSession,
@@ -32,6 +40,9 @@ def snapshot_stream(
 ) -> StreamingQuery:
     """Read every snapshot file not seen before and stop.
 
+    Files count however old they are, but the stream knows them by name only: releases that
+    are written again under their name are for ``refresh_silver``.
+
     The stream carries file names. Each micro-batch reads its files grouped by header, so
     a changed layout is a wider union and not a broken stream schema, and overwrites the
     folders of exactly those files: replaying a batch after a failure changes nothing.
@@ -41,6 +52,7 @@ def snapshot_stream(
         spark.readStream.format("binaryFile")
         .schema(FILES)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", ANY_AGE)
         .load(csv_glob(folder))
     )
 
@@ -60,3 +72,71 @@ def snapshot_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+# What was read into silver: one row per file and reading.
+LEDGER = columns("path string, modificationTime timestamp, length long, readAt timestamp")
+
+
+def _ledger_path(target: str) -> str:
+    return f"{target.rstrip('/')}.ledger"
+
+
+def _pending(spark: SparkSession, folder: str, family: SnapshotFamily, target: str) -> DataFrame:
+    """Listed files that differ from what was last read under their path, or were never read."""
+    listed = list_snapshots(spark, folder, family)
+    ledger = _ledger_path(target)
+    if not path_exists(spark, ledger):
+        return listed
+    last = (
+        spark.read.schema(LEDGER)
+        .parquet(ledger)
+        .groupBy("path")
+        .agg(F.max(F.struct("readAt", "modificationTime", "length")).alias("l"))
+        .select("path", "l.modificationTime", "l.length")
+    )
+    return listed.join(last, ["path", "modificationTime", "length"], "left_anti")
+
+
+def refresh_silver(
+    spark: SparkSession,
+    folder: str,
+    family: SnapshotFamily,
+    target: str,
+    files_per_batch: int = 1000,
+) -> int:
+    """Bring silver up to date with ``folder`` and return how many files were read.
+
+    A ledger next to the table holds path, time and length of every file read. New, late and
+    restated files, told by these, replace exactly their own rows; a file that has no rows any
+    more loses them. The ledger is written after the rows, so a run that fails in between
+    is repeated by the next. At most ``files_per_batch`` names are known to the driver at once.
+    """
+    read = 0
+    while True:
+        batch = freeze(_pending(spark, folder, family, target).orderBy("path").limit(files_per_batch))
+        names = batch.count()
+        if not names:
+            return read
+        began = spark.sql("SELECT current_timestamp()").first()[0]
+        found = resolve(batch, family, folder)
+        write_silver_by_file(silver(spark, found, family), target)
+        _drop_emptied(spark, target, [(f.month, f.name) for f in found], began)
+        batch.select("path", "modificationTime", "length", F.current_timestamp().alias("readAt")).write.mode(
+            "append"
+        ).parquet(_ledger_path(target))
+        read += names
+
+
+def _drop_emptied(spark: SparkSession, target: str, files: list[tuple], began) -> None:
+    """Delete the folders of files just read whose rows are all from an earlier reading."""
+    month, name = SILVER_LAYOUT
+    folders = [f"{target.rstrip('/')}/{month}={m}/{name}={n}" for m, n in files]
+    there = [f for f in folders if path_exists(spark, f)]
+    if not there:
+        return
+    rows = spark.read.option("basePath", target).parquet(*there)
+    stale = rows.groupBy(month, name).agg(F.max(PROCESSED_AT).alias("at")).where(F.col("at") < F.lit(began))
+    for row in stale.collect():
+        folder, fs = hadoop_path(spark, f"{target.rstrip('/')}/{month}={row[month]}/{name}={row[name]}")
+        fs.delete(folder, True)

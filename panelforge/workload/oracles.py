@@ -159,6 +159,35 @@ items AS (
   FROM cleaned
 )"""
 
+# Customer places: the key goes from one order to the next, so most moves read what others write.
+SWAPS = """
+old_m AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS file_id, 'mirror/' || o_custkey || '/' ||
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k
+  FROM orders WHERE o_orderdate < TIMESTAMP '2000-08-01'
+), new_m AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS file_id, 'mirror/' || o_custkey || '/' ||
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS k
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01'
+), moves AS (
+  SELECT file_id, o.k AS old_key, n.k AS new_key FROM old_m o FULL JOIN new_m n USING (file_id)
+), waiting AS (
+  SELECT file_id, old_key FROM moves
+  WHERE old_key <> new_key AND old_key IN (
+    SELECT new_key FROM moves WHERE new_key IS NOT NULL AND old_key IS DISTINCT FROM new_key)
+), steps AS (
+  SELECT m.file_id, CAST(CASE WHEN m.old_key IS NULL THEN 2 ELSE 3 END AS INTEGER) AS step, 0 AS depth,
+    CASE WHEN m.old_key IS NULL THEN 'download' ELSE 'copy' END AS action,
+    CASE WHEN w.file_id IS NOT NULL THEN '.staging/' || m.file_id ELSE m.old_key END AS source_key,
+    m.new_key AS s3_key, CASE WHEN m.old_key IS NULL THEN 'downloaded' ELSE 'moved' END AS counts_as
+  FROM moves m LEFT JOIN waiting w ON m.file_id = w.file_id
+  WHERE m.new_key IS NOT NULL AND m.old_key IS DISTINCT FROM m.new_key
+  UNION ALL
+  SELECT file_id, 5, 0, 'delete', NULL, old_key, CASE WHEN new_key IS NULL THEN 'deleted' ELSE '' END
+  FROM moves WHERE old_key IS DISTINCT FROM new_key AND old_key IS NOT NULL
+    AND old_key NOT IN (SELECT k FROM new_m)
+)"""
+
 TREE = """
 RECURSIVE listing AS (
   SELECT 'r' || r_regionkey AS id, r_name AS name, 'root' AS parent, 'folder' AS kind FROM region
@@ -335,7 +364,10 @@ FROM scored WHERE STATE = 'NATION_7'""",
   WHERE STATE = 'NATION_7'
   UNION ALL SELECT 'Correlation', CAST(NULL AS DOUBLE)
 )
-SELECT TITLE, r AS CORRELATION, {text_of("r", 3)} AS CORRELATION_TEXT, {STRENGTH} AS SENTENCE
+SELECT TITLE, r AS CORRELATION, {text_of("r", 3)} AS CORRELATION_TEXT,
+  CASE TITLE WHEN 'Correlation' THEN 'A Pearson correlation cannot be calculated for one facility. '
+    || 'Select All Facilities to view the national or selected-state correlation.'
+  ELSE {STRENGTH} END AS SENTENCE
 FROM values_""",
     "state_strengths": f"""WITH {SCORED}, s AS (
   SELECT STATE, n, {r6("r")} AS r FROM by_state
@@ -373,7 +405,7 @@ SELECT l_returnflag, BIN, (BIN - 1) * CAST(5 AS DOUBLE) AS BIN_START,
   BIN * CAST(5 AS DOUBLE) AS BIN_END, count(*) AS ROWS
 FROM binned GROUP BY l_returnflag, BIN""",
     "detail_unpivot": f"""WITH {PANEL}, one AS (
-  SELECT * FROM recent WHERE CCN = '7'
+  SELECT * FROM recent WHERE CCN = '6'
   ORDER BY MONTH, PROVIDER_NAME, TOTAL_TURNOVER NULLS FIRST, RN_TURNOVER NULLS FIRST LIMIT 1
 )
 SELECT 'Total Nursing Staff' AS MEASURE, {r6("TOTAL_TURNOVER")} AS ANNUAL_TURNOVER_RATE_PCT FROM one
@@ -394,7 +426,7 @@ FROM customer""",
     {r6("HOURS")} AS REPORTED_TOTAL_NURSE_STAFFING_HOURS_PER_RESIDENT_PER_DAY
   FROM panel
 )
-SELECT * FROM p WHERE STATE = 'NATION_7' UNION ALL SELECT * FROM p WHERE CCN = '7'""",
+SELECT * FROM p WHERE STATE = 'NATION_7' UNION ALL SELECT * FROM p WHERE CCN = '6'""",
     "gold_roundtrip": f"""WITH {PANEL}
 SELECT STATE, MONTH, count(*) AS rows_01, {r6("avg(HOURS)")} AS avg_staffing,
   {r6("avg(TOTAL_TURNOVER)")} AS state_avg
@@ -404,6 +436,9 @@ FROM recent WHERE STATE IS NOT NULL GROUP BY STATE, MONTH""",
 SELECT change_type, count(*) AS items FROM diffed GROUP BY change_type""",
     "cleanup_plan": f"WITH {VERSIONS} SELECT * FROM cleaned",
     "mirror_actions": f"WITH {VERSIONS} SELECT * FROM steps",
+    "mirror_swaps": f"""WITH {SWAPS} SELECT * FROM steps
+UNION ALL SELECT file_id, 0, 0, 'stage', old_key, '.staging/' || file_id, '' FROM waiting
+UNION ALL SELECT file_id, 6, 0, 'unstage', NULL, '.staging/' || file_id, '' FROM waiting""",
     "mirror_counts": f"""WITH {VERSIONS}
 SELECT count(*) FILTER (counts_as LIKE '%downloaded%') AS downloaded,
   count(*) FILTER (counts_as LIKE '%moved%') AS moved,
@@ -427,6 +462,8 @@ SELECT l_orderkey || '/' || l_linenumber AS line, min(l_partkey || '-' || l_supp
   max(l_partkey || '-' || l_suppkey) AS last_id
 FROM lineitem GROUP BY l_orderkey, l_linenumber
 HAVING min(l_partkey || '-' || l_suppkey) <> max(l_partkey || '-' || l_suppkey)""",
+    "late_release": RELEASED,
+    "restated_release": RELEASED,
     "manifest_state_json": f"""WITH {VERSIONS}
 SELECT file_id, k AS s3_key, m AS md5_checksum, 'second' AS token FROM new_m""",
     "mirror_runs": f"""WITH {TREE}

@@ -59,12 +59,12 @@ from panelforge.sources.state import (
     read_manifest_json,
     write_manifest_json,
 )
-from panelforge.streaming.snapshots import snapshot_stream
+from panelforge.streaming.snapshots import refresh_silver, snapshot_stream
 from panelforge.workload import tables as t
 from panelforge.workload.tables import table
 
 STATE = "NATION_7"
-FACILITY_ID = "7"
+FACILITY_ID = "6"
 
 # Columns each table is expected to have; some name one that is not there.
 EXPECTED = {
@@ -524,6 +524,12 @@ def mirror_actions(spark, sf):
     return actions(diff(old, new, changed_ids(feed)), new)
 
 
+def mirror_swaps(spark, sf):
+    """A plan in which keys change owner: moves read what other steps write."""
+    old, new = t.swapped_manifests(spark, sf)
+    return actions(diff(old, new, old.select("file_id").limit(0)), new)
+
+
 def mirror_counts(spark, sf):
     return run_counts(mirror_actions(spark, sf))
 
@@ -603,6 +609,32 @@ def incremental_stream(spark, sf):
     return read_silver(spark, target).select(*_RELEASE_COLUMNS)
 
 
+def _refreshed(spark, drops, age_out=False):
+    """Silver after one refresh per drop of release files into one folder."""
+    folder, target = (scratch_path(spark, label) for label in ("bronze", "silver"))
+    for k, drop in enumerate(drops):
+        t.land_releases(spark, drop, folder)
+        if age_out and k:
+            t.make_old(spark, folder)
+        refresh_silver(spark, folder, t.RELEASES, target)
+    return read_silver(spark, target).select(*_RELEASE_COLUMNS)
+
+
+def late_release(spark, sf):
+    """Back-filled release files, years older than those already read."""
+    orders = table(spark, sf, "orders")
+    cut = F.lit("1999-01-01").cast("timestamp_ntz")
+    return _refreshed(
+        spark, (orders.where(F.col("o_orderdate") >= cut), orders.where(F.col("o_orderdate") < cut)), True
+    )
+
+
+def restated_release(spark, sf):
+    """Release files written again under their names with more rows."""
+    orders = table(spark, sf, "orders")
+    return _refreshed(spark, (orders.where("o_orderkey % 3 > 0"), orders))
+
+
 # Queries named after the operator they run, whose name the function cannot take.
 _NAMES = {
     nearest_orders: "nearest_join",
@@ -624,7 +656,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         topn_customers, readmission_points, readmission_trend, strength_label, state_strengths,
         turnover_trend, top_states, turnover_distribution, histogram_quantity, detail_unpivot,
         melt_lines, filter_lists, facility_labels, scope_filter, gold_roundtrip, manifest_diff,
-        manifest_plan, cleanup_plan, mirror_actions, mirror_counts, tree_paths_walk, crawl_summary,
+        manifest_plan, cleanup_plan, mirror_actions, mirror_swaps, mirror_counts, tree_paths_walk, crawl_summary,
         bootstrap_plan, duplicate_keys, manifest_state, mirror_runs, incremental_stream,
+        late_release, restated_release,
     )
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,7 +167,9 @@ def land_releases(spark: SparkSession, orders: DataFrame, folder: str) -> str:
         parts = fs.globStatus(path(f"{staged}/release=*/part-*.csv")) or []
         for number, part in enumerate(parts):
             release = part.getPath().getParent().getName().split("=")[1]
-            fs.rename(part.getPath(), path(f"{folder}/orders_{number}_{release}.csv"))
+            named = path(f"{folder}/orders_{number}_{release}.csv")
+            fs.delete(named, False)
+            fs.rename(part.getPath(), named)
     return folder
 
 
@@ -259,3 +261,35 @@ def manifest_versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFram
     old = version(orders.where(F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp_ntz")))
     new = version(orders.where(F.col("o_orderdate") >= F.lit(HORIZON).cast("timestamp_ntz")))
     return old, new, feed
+
+
+def swapped_manifests(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Each customer's orders numbered from the first, and later from the last: the numbered
+    places stay and change owner."""
+    orders = table(spark, sf, "orders")
+
+    def version(rows: DataFrame, order) -> DataFrame:
+        number = F.row_number().over(Window.partitionBy("o_custkey").orderBy(order))
+        path = F.concat_ws("/", F.col("o_custkey").cast("string"), number.cast("string"))
+        return rows.select(
+            F.col("o_orderkey").cast("string").alias("file_id"),
+            F.lit("file").alias("type"),
+            path.alias("relative_path"),
+            F.concat(F.lit(PREFIX + "/"), path).alias("s3_key"),
+            F.lit("m").alias("md5_checksum"),
+        )
+
+    date = F.col("o_orderdate")
+    old = version(orders.where(date < F.lit(CUTOFF).cast("timestamp_ntz")), F.col("o_orderkey"))
+    new = version(
+        orders.where(date >= F.lit("1995-01-01").cast("timestamp_ntz")), F.col("o_orderkey").desc()
+    )
+    return old, new
+
+
+def make_old(spark: SparkSession, folder: str, days: int = 400) -> None:
+    """Set back the modification times of all files directly in ``folder``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path):
+        fs.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
