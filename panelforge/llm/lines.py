@@ -30,6 +30,8 @@ from panelforge.runtime import freeze
 # One line in so many ends a chunk, on average.
 SPACING = 4
 LEAST_LINES = 2
+# First occurrences carry their text; up to so many bytes of them are broadcast.
+SMALL_BYTES = 16 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -106,7 +108,7 @@ def repeated_chunks(docs: DataFrame, spacing: int = SPACING, least: int = LEAST_
     )
     owners = owners.where("_first < _last").select("code", "body", "_first")
     return (
-        attach(candidates, owners, ["code", "body"], how="inner")
+        attach(candidates, owners, ["code", "body"], how="inner", broadcast_bytes=SMALL_BYTES)
         .where(order > F.col("_first"))
         .groupBy("doc_id", "key")
         .agg(F.sort_array(F.collect_set("number")).alias("drop"))

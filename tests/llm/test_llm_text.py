@@ -137,7 +137,10 @@ def test_chunks_give_the_text_back_and_resist_shifts():
     assert all(len(c) >= 2 for c in a[:-1])
 
 
-def test_lines_equal_brute_force(spark, odd):
+@pytest.mark.parametrize("small", [0, 16 << 20])
+def test_lines_equal_brute_force(spark, odd, monkeypatch, small):
+    """With small=0 first occurrences are joined by a shuffle, hot chunks apart."""
+    monkeypatch.setattr(lines, "SMALL_BYTES", small)
     rng = random.Random(3)
     shared = "\n".join(prose(rng, 6) for _ in range(25))
     rows = [(i, "\n".join([prose(rng, 5) for _ in range(i % 7)] + [shared] * (i % 3) + [prose(rng, 5)])) for i in range(60)]
