@@ -11,7 +11,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import SCHEMA, odd_rows, prose
+from llm_samples import SCHEMA, odd_rows, prose
 
 import corpus_pipeline
 from panelforge.llm import components, decontamination, fingerprints, language, neardup, neighbours

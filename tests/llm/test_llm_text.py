@@ -11,7 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import odd_rows, prose  # noqa: F401
+from llm_samples import odd_rows, prose
 
 from oracle import compare, connect
 from panelforge.llm import html, lines, packing, sharding, substrings, tokens, words
