@@ -49,11 +49,14 @@ def tree_paths(listing: DataFrame, root_id: str) -> DataFrame:
     deep; items are then joined once to their parent folder. A folder holding a third of
     all items is a hot key of ``attach``. Children of non-folders are unreachable.
     """
-    items = listing.withColumns(
-        {
-            "name": safe_name(F.col("name")),
-            "kind": item_kind(F.col("mime_type"), F.col("can_download")),
-        }
+    # Written once: the walk and the last join read it several times.
+    items = freeze(
+        listing.withColumns(
+            {
+                "name": safe_name(F.col("name")),
+                "kind": item_kind(F.col("mime_type"), F.col("can_download")),
+            }
+        )
     )
     # The root is a start, not an item: leaving it out also rules out walking in circles.
     folders = freeze(

@@ -462,6 +462,16 @@ SELECT l_orderkey || '/' || l_linenumber AS line, min(l_partkey || '-' || l_supp
   max(l_partkey || '-' || l_suppkey) AS last_id
 FROM lineitem GROUP BY l_orderkey, l_linenumber
 HAVING min(l_partkey || '-' || l_suppkey) <> max(l_partkey || '-' || l_suppkey)""",
+    "mirror_incremental": f"""WITH {TREE}, seen AS (
+  SELECT kind, id = 'n3' OR path LIKE '%/NATION_3/%' AS added_tree,
+    CASE WHEN id LIKE 'o%' THEN CAST(substr(id, 2) AS BIGINT) % 4 END AS part
+  FROM tree WHERE kind IN ('folder', 'file')
+)
+SELECT 'incremental' AS mode,
+  count(*) FILTER (kind = 'file' AND part <> 1 AND (part = 0 OR added_tree)) AS downloaded,
+  CAST(0 AS BIGINT) AS moved, count(*) FILTER (kind = 'file' AND part = 1 AND NOT added_tree) AS deleted,
+  count(*) FILTER (kind = 'folder' AND added_tree) AS folder_markers_created
+FROM seen""",
     "late_release": RELEASED,
     "restated_release": RELEASED,
     "manifest_state_json": f"""WITH {VERSIONS}

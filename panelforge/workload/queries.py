@@ -596,6 +596,26 @@ def mirror_runs(spark, sf):
     return booted.unionByName(nothing)
 
 
+def mirror_incremental(spark, sf):
+    """A second run that finds a new subtree, new files and files that are gone."""
+    store = StateStore(spark, scratch_path(spark, "state"))
+    listing = t.tree_listing(spark, sf)
+    number = F.try_to_number(F.substr("file_id", F.lit(2)), F.lit("999999999999")) % 4
+    order = F.col("file_id").startswith("o")
+    listings = (
+        listing.where(~(order & (number == 0)) & (F.col("file_id") != "n3")),
+        listing.where(~(order & (number == 1))),
+    )
+    feed = table(spark, sf, "orders").select(
+        F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("fileId")
+    )
+    for token, listed in enumerate(listings):
+        done = mirror(
+            store, t.ROOT, t.PREFIX, lambda: listed, feed, lambda: str(token), lambda steps: None
+        )
+    return done.counts.select(F.lit(done.mode).alias("mode"), *done.counts.columns)
+
+
 def incremental_stream(spark, sf):
     """Two drops of release files, picked up by two runs of the stream."""
     folder, target, checkpoint = (
@@ -657,7 +677,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         turnover_trend, top_states, turnover_distribution, histogram_quantity, detail_unpivot,
         melt_lines, filter_lists, facility_labels, scope_filter, gold_roundtrip, manifest_diff,
         manifest_plan, cleanup_plan, mirror_actions, mirror_swaps, mirror_counts, tree_paths_walk, crawl_summary,
-        bootstrap_plan, duplicate_keys, manifest_state, mirror_runs, incremental_stream,
+        bootstrap_plan, duplicate_keys, manifest_state, mirror_runs, mirror_incremental, incremental_stream,
         late_release, restated_release,
     )
 }
