@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.words import rolling, token_hashes
+from panelforge.llm.words import give_back, rolling, token_hashes
 
 LEAST = 4
 COVERAGE = 0.5
@@ -238,6 +238,8 @@ def _holds(index, coverage, least):
         for lo in range(0, len(values), _DOCS):
             for r, *_ in index.value.found(values[lo : lo + _DOCS], coverage, least):
                 out[lo + r] = True
+        del values
+        give_back()
         return pd.Series(out)
 
     return holds

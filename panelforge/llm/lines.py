@@ -139,6 +139,7 @@ def remove_repeated_lines(docs: DataFrame, spacing: int = SPACING, least: int =
             (None, 0) if drop is None or text is None else _kept(text, drop, spacing, least)
             for text, drop in zip(texts, drops)
         ]
+        give_back()
         return pd.DataFrame(out, columns=["text", "n_removed"])
 
     rows = docs.select(

@@ -40,10 +40,10 @@ REGISTERS = 127
 BANDS, ROWS = 25, 5
 SMALL_BUCKET = 16
 BLOCK_ROWS = 512
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 
 _TEXT_BLOCK = 1 << 20
-_COLUMNS = 4096
+_COLUMNS = 1024
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.arange(1, REGISTERS + 1).astype(np.uint64) * _GOLDEN
 
@@ -190,6 +190,8 @@ def _verify(threshold: float):
                 for ca, na, cb, nb in zip(f["codes_a"], f["counts_a"], f["codes_b"], f["counts_b"])
             ]
             yield f.loc[linked, ["a", "b"]]
+            del f
+        give_back()
 
     return check
 
@@ -312,7 +314,9 @@ def _outside(members: DataFrame, texts: DataFrame, roots: DataFrame, centres: Da
     some = some.select(*(F.col(c).alias(f"_{c}") for c in columns))
 
     def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        return _join_groups(x.set_axis(columns, axis=1), y, threshold)
+        links = _join_groups(x.set_axis(columns, axis=1), y, threshold)
+        give_back()
+        return links
 
     return freeze(
         some.groupBy("_code", "_i", "_j")
