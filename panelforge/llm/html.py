@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.llm.words import small
+
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = set(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -189,7 +191,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = [main_text(h) if h else "" for h in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],

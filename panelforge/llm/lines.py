@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.tables import row_key
-from panelforge.llm.words import give_back, mix
+from panelforge.llm.words import give_back, mix, small
 from panelforge.operators.joins import attach
 from panelforge.runtime import freeze
 
@@ -78,7 +78,7 @@ def repeated_chunks(docs: DataFrame, spacing: int = SPACING, least: int = LEAST_
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = [
                 (i, k, n, _hash64(body), body)

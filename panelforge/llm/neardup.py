@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from panelforge.llm.components import components
 from panelforge.llm.words import blocks, give_back, mix, rolling, token_hashes
+from panelforge.llm.words import small as small_batches
 from panelforge.operators.joins import attach
 from panelforge.operators.topk import first_per_key
 from panelforge.runtime import freeze
@@ -42,7 +43,7 @@ SMALL_BUCKET = 16
 BLOCK_ROWS = 512
 BLOCK_BYTES = 2 << 20
 
-_TEXT_BLOCK = 1 << 20
+_TEXT_BLOCK = 512 << 10
 _COLUMNS = 1024
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.arange(1, REGISTERS + 1).astype(np.uint64) * _GOLDEN
@@ -127,7 +128,7 @@ def similarity(a: tuple, b: tuple) -> tuple[float, float]:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_batches(batches):
         texts = batch.column("text").to_pylist()
         at = np.cumsum([0, *(len(t or "") for t in texts)])
         out: list[bytes | None] = []
@@ -160,7 +161,7 @@ def _band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _list_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_batches(batches):
         texts = batch.column("text").to_pylist()
         at = np.cumsum([0, *(len(t or "") for t in texts)])
         codes_out, counts_out = [], []

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.words import give_back
+from panelforge.llm.words import give_back, small
 from panelforge.operators.rank import rank_rows
 from panelforge.runtime import freeze
 
@@ -120,7 +120,7 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(path)
-        for batch in batches:
+        for batch in small(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = words.encode(text or "") + end

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.tables import even_parts, partitions, row_key, text_bytes
-from panelforge.llm.words import Words, blocks, flat, gather, mix, rolling, sliding_min, strings
+from panelforge.llm.words import Words, blocks, flat, gather, mix, rolling, sliding_min, small, strings
 from panelforge.operators.joins import attach
 from panelforge.runtime import freeze
 
@@ -328,7 +328,7 @@ def remove_repeats(docs: DataFrame, digest: bool = False, **options) -> DataFram
     )
 
     def cut(batches):
-        for batch in batches:
+        for batch in small(batches):
             out = [
                 _without(t or "", a, b)
                 for t, a, b in zip(

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.llm.words import small
+
 VOCABULARY = "byte_bpe_50k.tiktoken"
 BLOCK = 64
 # The splitter looks at most two code points past a pre-token's end to decide on it.
@@ -169,7 +171,7 @@ def count_with_edits(docs: DataFrame, edits: Column, path: str | None = None) ->
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path)
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for doc_id, text, changes in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 tree = CountTree(text or "", count)

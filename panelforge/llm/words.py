@@ -51,6 +51,13 @@ def give_back() -> None:
         trim(0)
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that Python objects are made for few at a time."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the n + 1 offsets of its rows; null is empty."""
     if isinstance(texts, pa.ChunkedArray):
