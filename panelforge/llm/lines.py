@@ -31,7 +31,7 @@ from panelforge.runtime import freeze
 SPACING = 4
 LEAST_LINES = 2
 # First occurrences carry their text; up to so many bytes of them are broadcast.
-SMALL_BYTES = 16 << 20
+SMALL_BYTES = 64 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
