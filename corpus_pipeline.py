@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from panelforge.llm.decontamination import without_items
 from panelforge.llm.language import in_known_language
-from panelforge.llm.lines import remove_repeated_lines
+from panelforge.llm.lines import remove_repeated_blocks
 from panelforge.llm.neardup import one_per_group
 from panelforge.llm.packing import pack
 from panelforge.llm.tables import table
@@ -30,7 +30,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars`` follows the text where the text changed.
     """
-    changed = remove_repeated_lines(docs)
+    changed = remove_repeated_blocks(docs)
     row, removed = F.col("row"), F.col("n_removed") > 0
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

@@ -1,20 +1,23 @@
 """Removing multi-line blocks that repeat across the corpus.
 
-Content-defined chunks of lines. A rolling hash over the hashes of two neighbouring lines
-decides where a chunk ends, so boundaries move with the content: a block pasted into another
-document is cut alike there except at its rims. Every chunk of two or more lines that occurs
-elsewhere in the corpus is removed but for its first occurrence; repeats are decided on the bytes
-of the chunk.
-
-Scale. Chunk hashes are counted first, with one row per chunk and partial sums; only chunks whose hash
-repeats are compared by their text. The first occurrence is a partial minimum, and joining it
-back (``attach``) splits chunks that a large part of all documents share.
+``remove_repeated_blocks`` looks at every window of two neighbouring lines. A block of two or more lines
+that occurs earlier has all its windows there, so the union of the repeated windows is the union of all
+repeated blocks, wherever they begin and end. Repeats are decided on the bytes of the window.
+
+``remove_repeated_lines`` is the coarse form over content-defined chunks. A rolling hash over the hashes
+of two neighbouring lines decides where a chunk ends, so boundaries move with the content; a block
+shorter than the distance of two boundaries is mostly missed.
+
+Scale. Hashes are counted first, with one row per window and partial sums, and without text; only windows
+whose hash repeats are compared by their text. The first occurrence is a partial minimum, and joining it
+back (``attach``) splits windows that a large part of all documents share.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from panelforge.llm.tables import row_key
 from panelforge.llm.words import give_back, mix, small
 from panelforge.operators.joins import attach
-from panelforge.runtime import freeze
+from panelforge.runtime import freeze, freeze_measured
 
 # One line in so many ends a chunk, on average.
 SPACING = 4
@@ -115,6 +118,128 @@ def repeated_chunks(docs: DataFrame, spacing: int = SPACING, least: int = LEAST_
     )
 
 
+def _blank(line: str) -> bool:
+    return not line or line.isspace()
+
+
+def _windows(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers and hashes of the windows of a text.
+
+    Number 2 i is lines i and i + 1, unless both are blank. Number 2 i + 1 runs from line i over three or
+    more blank lines to the next line with text, so that the inner ones of them go with a repeated block.
+    """
+    if len(lines) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    code = np.fromiter(map(_line_hash, lines), np.uint64, len(lines))
+    filled = ~np.fromiter(map(_blank, lines), bool, len(lines))
+    pair = np.flatnonzero(filled[:-1] | filled[1:])
+    at = np.flatnonzero(filled)
+    gap = np.diff(at)
+    a, b, gap = at[:-1][gap > 3], at[1:][gap > 3], gap[gap > 3]
+    return np.concatenate([2 * pair, 2 * a + 1]), np.concatenate(
+        [mix(code[pair] * _BASE + code[pair + 1]), mix(mix(code[a] * _BASE + code[b]) + gap.astype(np.uint64))]
+    )
+
+
+def _window_end(lines: list[str], number: int) -> int:
+    end = number // 2 + 2
+    if number % 2:
+        while _blank(lines[end - 1]):
+            end += 1
+    return end
+
+
+def repeated_windows(docs: DataFrame, bits: int = 64) -> DataFrame:
+    """Numbers (see ``_windows``) of the windows of each row that occur earlier in the corpus.
+
+    Columns and order as in ``repeated_chunks``; ``bits`` of the hashes are used. Within one text a window is no repeat of one that it
+    overlaps: of a line that stands there three times in a row nothing goes.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            found = [_windows(t.split("\n") if t else []) for t in batch.column(2).to_pylist()]
+            row = pa.array(np.repeat(np.arange(batch.num_rows), [len(n) for n, _ in found]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(row),
+                    batch.column(1).take(row),
+                    pa.array(np.concatenate([n for n, _ in found]).astype(np.int32)),
+                    pa.array((np.concatenate([c for _, c in found]) >> np.uint64(64 - bits)).view(np.int64)),
+                ],
+                ["doc_id", "key", "number", "code"],
+            )
+            del batch, found, row
+        give_back()
+
+    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches, 256):
+            out = []
+            for i, k, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
+                lines = text.split("\n")
+                for w in wanted:
+                    n = w["number"]
+                    out.append((i, k, n, w["code"], "\n".join(lines[n // 2 : _window_end(lines, n)])))
+            columns = list(zip(*out)) if out else [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, kinds)], ["doc_id", "key", "number", "code", "body"]
+            )
+            del batch, out, columns
+        give_back()
+
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("text")).alias("key"), "text")
+    found = freeze(texts.mapInArrow(count, "doc_id long, key long, number int, code long"))
+    repeated = found.groupBy("code").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("code")
+    wanted = (
+        attach(found, repeated, ["code"], how="left_semi")
+        .groupBy("doc_id", "key")
+        .agg(F.collect_set(F.struct("number", "code")).alias("wanted"))
+    )
+    candidates = freeze(
+        attach(texts, wanted, ["doc_id", "key"], how="inner", match_nulls=True).mapInArrow(
+            bodies, "doc_id long, key long, number int, code long, body string"
+        )
+    )
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"), F.col("number"))
+
+    def firsts(of: DataFrame) -> DataFrame:
+        return of.groupBy("code", "body").agg(F.min(order).alias("_first"), F.max(order).alias("_last"))
+
+    # The bytes are compared once, where equal ones meet; if all of a code are equal, the code stands for them.
+    plain = ["doc_id", "key", "number", "code"]
+    by_code = freeze(
+        firsts(candidates).select("code", "_first", "_last")
+        .groupBy("code").agg(F.count(F.lit(1)).alias("_n"), F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+    )
+    owners = by_code.where("_n = 1 and _first < _last").select("code", "_first")
+    later = attach(candidates.select(plain), owners, ["code"], how="inner", broadcast_bytes=SMALL_BYTES)
+    clash, clashes, _ = freeze_measured(by_code.where("_n > 1").select("code"))
+    if clashes:
+        apart = freeze(attach(candidates, clash, ["code"], how="left_semi"))
+        owners = firsts(apart).where("_first < _last").select("code", "body", "_first")
+        apart = attach(apart, owners, ["code", "body"], how="inner", broadcast_bytes=SMALL_BYTES)
+        later = later.unionByName(apart.select(*plain, "_first"))
+    overlap = (
+        F.col("doc_id").eqNullSafe(F.col("_first.doc_id"))
+        & (F.col("key") == F.col("_first.key"))
+        & (F.col("number") - F.col("_first.number") < 4)
+    )
+    return (
+        later.where((order > F.col("_first")) & ~overlap)
+        .groupBy("doc_id", "key")
+        .agg(F.sort_array(F.collect_set("number")).alias("drop"))
+    )
+
+
+def _kept_lines(text: str, drop) -> tuple[str, int]:
+    lines = text.split("\n")
+    gone = np.zeros(len(lines), bool)
+    for n in drop:
+        gone[n // 2 : _window_end(lines, int(n))] = True
+    return "\n".join(line for line, g in zip(lines, gone) if not g), int(gone.sum())
+
+
 def _kept(text: str, drop, spacing: int, least: int) -> tuple[str, int]:
     gone = set(drop)
     parts = chunks(text, spacing, least)
@@ -122,21 +247,11 @@ def _kept(text: str, drop, spacing: int, least: int) -> tuple[str, int]:
     return "\n".join(kept), sum(len(parts[n]) for n in gone)
 
 
-def remove_repeated_lines(docs: DataFrame, spacing: int = SPACING, least: int = LEAST_LINES) -> DataFrame:
-    """Remove every chunk of ``least`` or more lines that occurs earlier in the corpus.
-
-    Returns all columns of ``docs`` with the new text in ``text``, as a struct ``row``, and n_removed, the number
-    of lines removed. Kept lines stay as they are, in order.
-
-    Null and empty texts and texts of one line pass unchanged; so do chunks of blank lines. Rows that agree
-    in doc_id and text get the same result. Only doc_id and text are looked at, so other columns
-    may have any name. An empty table gives an empty result.
-    """
-
+def _remove(docs: DataFrame, drops: DataFrame, kept: Callable[..., tuple[str, int]]) -> DataFrame:
     @F.pandas_udf("text string, n_removed int")
     def cut(texts: pd.Series, drops: pd.Series) -> pd.DataFrame:
         out = [
-            (None, 0) if drop is None or text is None else _kept(text, drop, spacing, least)
+            (None, 0) if drop is None or text is None else kept(text, drop)
             for text, drop in zip(texts, drops)
         ]
         give_back()
@@ -147,11 +262,29 @@ def remove_repeated_lines(docs: DataFrame, spacing: int = SPACING, least: int =
         F.col("doc_id").cast("long").alias("doc_id"),
         row_key(F.col("text")).alias("key"),
     )
-    joined = attach(
-        rows, repeated_chunks(docs, spacing, least), ["doc_id", "key"], match_nulls=True
-    ).withColumn("new", cut(F.when(F.col("drop").isNotNull(), F.col("row.text")), F.col("drop")))
+    joined = attach(rows, drops, ["doc_id", "key"], match_nulls=True).withColumn(
+        "new", cut(F.when(F.col("drop").isNotNull(), F.col("row.text")), F.col("drop"))
+    )
     text = F.when(F.col("drop").isNotNull(), F.col("new.text")).otherwise(F.col("row.text"))
     return joined.select(
         F.col("row").withField("text", text).alias("row"),
         F.col("new.n_removed").alias("n_removed"),
     )
+
+
+def remove_repeated_blocks(docs: DataFrame) -> DataFrame:
+    """Remove every block of two or more lines that occurs earlier in the corpus.
+
+    Returns all columns of ``docs`` with the new text in ``text``, as a struct ``row``, and n_removed, the number
+    of lines removed. Kept lines stay as they are, in order, and the first occurrence of a line always stays.
+
+    Null and empty texts and texts of one line pass unchanged; so do blocks of blank lines, and blank lines
+    beyond the first at a block's rim. Rows that agree in doc_id and text get the same result. Only doc_id
+    and text are looked at, so other columns may have any name. An empty table gives an empty result.
+    """
+    return _remove(docs, repeated_windows(docs), _kept_lines)
+
+
+def remove_repeated_lines(docs: DataFrame, spacing: int = SPACING, least: int = LEAST_LINES) -> DataFrame:
+    """``remove_repeated_blocks`` for whole content-defined chunks of ``least`` or more lines only."""
+    return _remove(docs, repeated_chunks(docs, spacing, least), partial(_kept, spacing=spacing, least=least))

@@ -9,7 +9,7 @@ from panelforge.llm.decontamination import find_items
 from panelforge.llm.fingerprints import fingerprint_edits
 from panelforge.llm.html import extract
 from panelforge.llm.language import predict_language
-from panelforge.llm.lines import remove_repeated_lines
+from panelforge.llm.lines import remove_repeated_blocks
 from panelforge.llm.neardup import near_duplicates
 from panelforge.llm.packing import pack
 from panelforge.llm.sharding import interleave
@@ -58,7 +58,7 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("_lines", F.size(F.split("text", "\n")))
-    return remove_repeated_lines(docs).select(
+    return remove_repeated_blocks(docs).select(
         F.col("row.doc_id"),
         F.when(F.col("row.text").isNull(), 0).otherwise(F.col("row._lines")).alias("n_lines"),
         "n_removed",

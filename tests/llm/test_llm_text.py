@@ -156,6 +156,69 @@ def test_lines_keep_columns(odd, nothing):
     assert lines.remove_repeated_lines(nothing).count() == 0
 
 
+def blocks_expected(rows):
+    """All two-line windows, in order of doc_id and place; a window that overlaps its first is no repeat."""
+    first = {}
+    out = []
+    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        x, gone = (t or "").split("\n"), set()
+        for k in range(len(x) - 1):
+            if (x[k] + x[k + 1]).strip():
+                d, at = first.setdefault((x[k], x[k + 1]), (i, k))
+                if d != i or k - at >= 2:
+                    gone |= {k, k + 1}
+        out.append((i, t and "\n".join(y for k, y in enumerate(x) if k not in gone), len(gone)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("small", [0, 16 << 20])
+def test_blocks_equal_all_windows(spark, odd, monkeypatch, small):
+    """Blocks of two to four lines at any place, blank lines, one line in a row, many copies of one block."""
+    monkeypatch.setattr(lines, "SMALL_BYTES", small)
+    rng = random.Random(11)
+    shared = ["\n".join(prose(rng, 4) for _ in range(n)) for n in (2, 2, 3, 4)]
+    some = ["", " ", *(prose(rng, 2) for _ in range(5))]
+    rows = [
+        (i, "\n".join(rng.choice([rng.choice(shared), rng.choice(some), prose(rng, 5)]) for _ in range(rng.randint(1, 9))))
+        for i in range(150)
+    ]
+    rows += [(200 + n, "\n".join(["run"] * n)) for n in (3, 2, 5)] + [(210, "\n".join(["own"] * 5)), (211, "x\ny\nx\ny")]
+    rows += [r[:2] for r in odd_rows() if r[0] in (None, 2, 4, 7, 8, 9)][:-1]
+    rows = [(i if i is None else i * 2, t) for i, t in rows]
+    rows = list({i: (i, t) for i, t in rows}.values())
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = lines.remove_repeated_blocks(frame).select("row.doc_id", "row.text", "n_removed")
+    assert sorted(((i, t, n or 0) for i, t, n in map(tuple, got.collect())), key=str) == blocks_expected(rows)
+
+
+def test_equal_hashes_of_windows_are_settled_by_bytes(spark):
+    rng = random.Random(12)
+    shared = [prose(rng, 3) for _ in range(12)]
+    rows = [(i, "\n".join(rng.choices(shared, k=6))) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    rare = lines.repeated_windows(frame)
+    assert sorted(map(str, lines.repeated_windows(frame, bits=3).collect())) == sorted(map(str, rare.collect()))
+
+
+def test_short_blocks_go_with_the_blanks_inside(spark):
+    rows = [(1, "a\nb\nc"), (2, "x\nb\nc\ny"), (3, "p\n\n\n \n\n\nq"), (4, "r\np\n\n\n \n\n\nq\ns"), (5, "p\n\n\n\n\n\nq")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in lines.remove_repeated_blocks(frame).select("row.*").collect()}
+    assert got == {1: rows[0][1], 2: "x\ny", 3: rows[2][1], 4: "r\ns", 5: "\n\n"}
+
+
+def test_queries_remove_short_blocks(spark):
+    docs = spark.read.parquet(f"{TINY}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: r.n_removed or 0 for r in QUERIES["op8_line_dedup"](spark, TINY).collect()}
+    assert got == {i: n for i, _, n in blocks_expected([tuple(r) for r in docs])}
+
+
+def test_blocks_keep_columns(odd, nothing):
+    out = lines.remove_repeated_blocks(odd).select("row.*")
+    assert out.columns == odd.columns and out.count() == odd.count()
+    assert lines.remove_repeated_blocks(nothing).count() == 0
+
+
 # ---- op 2
 
 
