@@ -4,7 +4,8 @@ Shingles of five tokens, weighted by how often they occur in their document. Pro
 is a Poisson process whose rate is its weight, with arrivals spread over the registers of
 the signature; a register keeps the shingle that arrives first, and a process is left as soon as
 its next arrival is later than every register's. The share of equal registers estimates the
-probability Jaccard similarity, which for equal weights is the Jaccard similarity of the sets.
+probability Jaccard similarity, which for equal weights is the Jaccard similarity of the sets. A document
+with unequal weights has a second signature with all weights 1, so that both similarities are searched.
 Documents that agree in a band of registers are candidates; a candidate pair is linked if its exact
 probability Jaccard or set Jaccard similarity reaches the threshold. Linked documents form groups.
 
@@ -134,10 +135,18 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[bytes | None] = []
         for i, j in blocks(at, _TEXT_BLOCK):
             rows, codes, counts = shingles(texts[i:j])
-            some = np.zeros(j - i, bool)
+            some, unequal = np.zeros(j - i, bool), np.zeros(j - i, bool)
             some[rows] = True
-            signed = signatures(rows, codes, counts, j - i)
-            out += [s.tobytes() if has else None for s, has in zip(signed, some)]
+            unequal[rows[counts > 1]] = True
+            signed = [s.tobytes() if has else None for s, has in zip(signatures(rows, codes, counts, j - i), some)]
+            if unequal.any():
+                # All weights 1: appended where it makes a difference.
+                nth, part = np.cumsum(unequal) - 1, unequal[rows]
+                ones = signatures(nth[rows[part]], codes[part], np.ones(part.sum(), np.int64), int(unequal.sum()))
+                for r, one in zip(np.flatnonzero(unequal).tolist(), ones):
+                    if (one := one.tobytes()) != signed[r]:
+                        signed[r] += one
+            out += signed
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("h"), pa.array(out, pa.binary())], ["doc_id", "h", "sig"]
         )
@@ -148,14 +157,18 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = mix(np.arange(1, BANDS + 1).astype(np.uint64))
     for batch in batches:
-        n = len(batch)
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint16).reshape(n, REGISTERS)
-        used = sig[:, : BANDS * ROWS].reshape(n, BANDS, ROWS).astype(np.uint64)
-        code = np.tile(number, (n, 1))
+        sigs = batch.column("sig").to_pylist()
+        sig = np.frombuffer(b"".join(sigs), np.uint16).reshape(-1, REGISTERS)
+        # Both signatures of a document go to the same buckets: with equal weights it has only one.
+        of = np.repeat(np.arange(len(sigs)), [len(s) // (2 * REGISTERS) for s in sigs])
+        used = sig[:, : BANDS * ROWS].reshape(len(of), BANDS, ROWS).astype(np.uint64)
+        code = np.tile(number, (len(of), 1))
         for k in range(ROWS):
             code = mix(code * _GOLDEN + used[:, :, k])
+        new = np.ones(code.shape, bool)
+        new[1:] = (of[1:] != of[:-1])[:, None] | (code[1:] != code[:-1])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(code.reshape(-1).view(np.int64)), batch.column("h").take(pa.array(np.repeat(np.arange(n), BANDS)))],
+            [pa.array(code[new].view(np.int64)), batch.column("h").take(pa.array(np.repeat(of, new.sum(axis=1))))],
             ["code", "h"],
         )
 

@@ -258,6 +258,18 @@ def test_groups_equal_brute_force(spark, small):
     assert sum(r["keep"] for r in got) >= len({c for _, c in expected})
 
 
+def test_repeated_paragraphs_are_found(spark):
+    """Equal sets of shingles, set Jaccard about 1, but one paragraph of the one text comes forty times."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(40):
+        head, part = prose(rng, 150), prose(rng, 12)
+        rows += [(2 * k, f"{head} {part} {part}"), (2 * k + 1, f"{head}" + f" {part}" * (40 if k % 2 else 10))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(frame).collect()}
+    assert got == {i: i // 2 * 2 for i, _ in rows}
+
+
 def test_one_row_of_each_group_stays(odd, nothing):
     kept = neardup.one_per_group(odd)
     assert kept.columns == odd.columns
