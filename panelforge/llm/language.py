@@ -224,18 +224,17 @@ def train_model(
     """Learn from text and lang of at most ``docs_per_language`` documents per language.
 
     Taken are the labelled documents with a letter that are not held out, in the order of a hash of
-    their text. Only ``windows_per_doc`` windows of ``WINDOW`` bytes of each reach the driver.
+    their text; copies of a text count once. Only ``windows_per_doc`` windows of ``WINDOW`` bytes of each reach the driver.
     """
     known = docs.where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}")
     )
-    first = Window.partitionBy("lang").orderBy("code", "doc_id")
+    first = Window.partitionBy("lang").orderBy("code")
     picked = (
-        known.select("lang", "doc_id", F.xxhash64("text").alias("code"))
+        known.groupBy("lang", F.xxhash64("text").alias("code")).agg(F.min("doc_id").alias("doc_id"))
         .withColumn("rn", F.row_number().over(first))
         .where(F.col("rn") <= docs_per_language)
         .select("doc_id", "lang", "code")
-        .dropDuplicates()
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,6 +250,8 @@ def train_model(
 
     # At most docs_per_language rows per language: small enough to send to the readers.
     sample = known.withColumn("code", F.xxhash64("text")).join(F.broadcast(picked), ["doc_id", "lang", "code"])
+    # A row may be repeated: one of each is kept, the partial minimum in the reading task.
+    sample = sample.groupBy("lang", "code").agg(F.min("text").alias("text"))
     rows = sample.select("lang", "text").mapInArrow(cut, "lang string, part binary").collect()
     rows = sorted((r["lang"], bytes(r["part"])) for r in rows)
     languages = sorted({r[0] for r in rows})

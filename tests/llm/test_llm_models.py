@@ -23,6 +23,20 @@ TINY, SMALL = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 # ---- op 1
 
 
+def test_copies_are_learned_once(spark, monkeypatch):
+    """Two texts of one language: copies under other ids and repeated rows leave the sample as it is."""
+    seen = []
+    monkeypatch.setattr(language.ByteGru, "train", lambda self, x, y, epochs: seen.append(sorted(map(bytes, x.astype(np.uint8)))))
+    rng = random.Random(4)
+    texts = [("aa", prose(rng, 9)) for _ in range(4)] + [("bb", prose(rng, 9)) for _ in range(3)]
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    once = [(ids[k], t, lang) for k, (lang, t) in enumerate(texts)]
+    more = [(i, t, lang) for i in ids[10:60] for lang, t in texts] + once * 30
+    for rows in (once, once + more):
+        language.train_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"), docs_per_language=3)
+    assert len(seen[0]) == 6 and seen[0] == seen[1]
+
+
 def test_gradients_equal_differences():
     model = language.ByteGru(["a", "b", "c"], 4, 1)
     for name in "TUVc":
