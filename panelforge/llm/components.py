@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.operators.joins import attach
 from panelforge.runtime import freeze
 
 
@@ -23,7 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star and small-star rounds: every node points its larger neighbours, then its smaller
     ones, to the smallest node it knows, until each component is one star. The rounds grow with the
     logarithm of a component's size; neighbours are never gathered, only their minimum is
-    (with partial minima), so a node with a third of all edges is split like any other join key.
+    (with partial minima) and attached again, so a node with a third of all edges is split.
     Each round is a written table. Self-loops and repeated edges are ignored.
     """
     low, high = F.least("a", "b"), F.greatest("a", "b")
@@ -32,11 +33,11 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = freeze(
-            both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            attach(both, least, ["a"], "inner").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         )
         smallest = large.groupBy("a").agg(F.min("b").alias("m"))
         edges = freeze(
-            large.join(smallest, "a")
+            attach(large, smallest, ["a"], "inner")
             .where("b <> m")
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(smallest.select("a", F.col("m").alias("b")))

@@ -13,6 +13,7 @@ from panelforge.llm.lines import remove_repeated_blocks
 from panelforge.llm.neardup import near_duplicates
 from panelforge.llm.packing import pack
 from panelforge.llm.sharding import interleave
+from panelforge.llm.simhash import near_copies
 from panelforge.llm.substrings import remove_repeats
 from panelforge.llm.tables import table
 from panelforge.llm.tokens import count_with_edits
@@ -74,6 +75,10 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -87,6 +92,7 @@ QUERIES = {
         op8_line_dedup,
         op9_html_extraction,
         op10_document_fingerprints,
+        op13_simhash_near_dedup,
     )
 }
 
