@@ -17,6 +17,7 @@ from panelforge.llm.simhash import near_copies
 from panelforge.llm.substrings import remove_repeats
 from panelforge.llm.tables import table
 from panelforge.llm.tokens import count_with_edits
+from panelforge.llm.trie import prefix_trie
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +76,10 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"))
 
@@ -92,6 +97,7 @@ QUERIES = {
         op8_line_dedup,
         op9_html_extraction,
         op10_document_fingerprints,
+        op12_conversation_prefix_trie,
         op13_simhash_near_dedup,
     )
 }
@@ -117,5 +123,47 @@ WITH words AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(ats) AS BIGINT) AS n_removed,
        sha256(coalesce(array_to_string(list_filter(w, lambda x, k: NOT list_contains(ats, k)), ' '), '')) AS kept_sha256
 FROM numbered
+""",
+    "op12_conversation_prefix_trie": r"""
+WITH turns AS (
+    SELECT conv_id, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t,
+           row_number() OVER (
+               PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')
+           ) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list(t ORDER BY pos) AS l,
+           xor(list_reduce(
+               list_prepend(4294967295, flatten(list_transform(
+                   string_split(CAST(conv_id AS VARCHAR), ''),
+                   lambda ch: list_transform(range(8), lambda k: (ascii(ch) >> CAST(k AS INTEGER)) & 1)
+               ))),
+               lambda c, b: xor(c >> 1, CASE WHEN xor(c & 1, b) = 1 THEN 3988292384 ELSE 0 END)
+           ), 4294967295) % 4 AS h
+    FROM turns GROUP BY conv_id
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.l[1:c.h], []), c.l[c.h + 1:]) AS r
+    FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+), prefixes AS (
+    SELECT conv_id, d, r[1:d] AS p, len(r) AS n FROM (SELECT conv_id, r, unnest(range(0, len(r) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+           string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d) AS ends,
+           (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE
+               len(list_filter(regexp_split_to_array(p[d].text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) END AS saved
+    FROM prefixes GROUP BY p, d
+), kids AS (
+    SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL
+), weighed AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (p, d)
+), below AS (
+    SELECT p[1:a] AS p, a AS d, CAST(sum(saved) AS BIGINT) AS saved_tokens,
+           CAST(sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves
+    FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM weighed) GROUP BY ALL
+)
+SELECT w.conv_id, w.d AS depth, up.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens,
+       sha256(coalesce(w.ends, '')) AS ends_sha256
+FROM weighed w JOIN below USING (p, d)
+LEFT JOIN nodes up ON w.d > 0 AND up.d = w.d - 1 AND up.p = w.p[1:w.d - 1]
 """,
 }
