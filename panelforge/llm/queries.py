@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelforge.llm.alignment import aligned_counts
 from panelforge.llm.decontamination import find_items
 from panelforge.llm.fingerprints import fingerprint_edits
 from panelforge.llm.html import extract
@@ -76,6 +77,10 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_counts(table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -97,6 +102,7 @@ QUERIES = {
         op8_line_dedup,
         op9_html_extraction,
         op10_document_fingerprints,
+        op11_cross_tokenizer_alignment,
         op12_conversation_prefix_trie,
         op13_simhash_near_dedup,
     )
