@@ -1,13 +1,13 @@
 """Two tokenizers aligned on bytes, with corpus-wide counts of the token pairs that overlap.
 
-Text A is cut by a byte-level BPE, text B by a piece BPE with byte fallback. Neither lets a token reach from a
-visible character into a space or line end behind it, so a text's tokens are those of its units (blanks and what
-follows up to the next blank). A unit is encoded and aligned once and kept; a document adds up its units.
+Text A is cut by a byte-level BPE, text B by a piece BPE with byte fallback. Each text is encoded once and its ids
+are kept as a written table; from there on documents are aligned as often as needed, a batch at a time: every
+byte offset at which a token of either side ends closes one link, every offset at which both end a group.
 
-Counting goes through minimal perfect hashing. First pass: the distinct pairs of all tasks, hashed part by part.
-Second pass: a task aligns its documents and counts them in dense vectors indexed by the hash, every lookup verified
-against the stored key; vectors are summed in a tree, a few at a time. Third pass: documents are aligned again
-and look their links' counts up.
+Counting goes through minimal perfect hashing. The distinct pairs of all tasks are hashed part by part. A task
+then aligns its documents and counts them in dense vectors indexed by the hash, every lookup verified against the
+stored key; vectors are summed in a tree, a few at a time. A second pass aligns the documents again and looks
+their links' counts up.
 
 Scale. Pairs are at most the product of the vocabularies and grow far slower than the text. Broadcast are parts of up
 to ``BROADCAST_BYTES`` together; more pairs are worked through in several rounds of parts. Vectors travel
@@ -17,19 +17,18 @@ compressed, and only their touched segments.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelforge.llm.hashing import PerfectHash, part_of
 from panelforge.llm.tables import even_parts
-from panelforge.llm.words import give_back, small
+from panelforge.llm.words import blocks, give_back, small
 from panelforge.operators.joins import BROADCAST_BYTES
 from panelforge.runtime import freeze
 
@@ -43,13 +42,11 @@ _KEY_BYTES = 24
 FAN_IN = 16
 
 _SEGMENT = 1 << 14
-_CACHED = 200_000
-_CACHED_LENGTH = 64
-_PENDING = 1 << 20
-# Units begin with one of these; see ``Aligner.checked``.
-_CUT = " \n"
-_UNITS = re.compile(r"\s+\S*")
+# Bytes of text, and of ids, that are worked on at once; a longer text is worked on alone.
+_BLOCK = 2 << 20
+_PENDING = 1 << 21
 _CODEC = pa.Codec("zstd", compression_level=1)
+_IDS = np.dtype("<u2")
 
 
 def vocabulary_paths() -> tuple[str, str]:
@@ -58,39 +55,8 @@ def vocabulary_paths() -> tuple[str, str]:
     return public_tokenizers.path(BYTE_VOCABULARY), public_tokenizers.path(PIECE_VOCABULARY)
 
 
-@dataclass(frozen=True, slots=True)
-class Unit:
-    """A unit's tokens, aligned: ``pairs`` (a << 32 | b) are distinct, ``times`` says how often each is linked."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    pairs: np.ndarray
-    times: np.ndarray
-
-
-def align(a: list[int], a_ends: list[int], b: list[int], b_ends: list[int]) -> Unit:
-    """Groups and links of two tokenizations of the same bytes, given where each token ends."""
-    links: dict[int, int] = {}
-    groups, i, j, from_a, from_b = [], 0, 0, 0, 0
-    while i < len(a):
-        pair = a[i] << 32 | b[j]
-        links[pair] = links.get(pair, 0) + 1
-        if a_ends[i] == b_ends[j]:
-            groups.append(f"{','.join(map(str, a[from_a : i + 1]))}|{','.join(map(str, b[from_b : j + 1]))}")
-            i, j = i + 1, j + 1
-            from_a, from_b = i, j
-        elif a_ends[i] < b_ends[j]:
-            i += 1
-        else:
-            j += 1
-    pairs, times = np.fromiter(links, np.int64, len(links)), np.fromiter(links.values(), np.int64, len(links))
-    return Unit(len(a), len(b), len(groups), ";".join(groups), pairs, times)
-
-
-class Aligner:
-    """Encodes and aligns texts with both vocabularies; units are kept, bounded in number and length."""
+class Vocabularies:
+    """Both encoders and the bytes of their tokens."""
 
     def __init__(self, byte_path: str, piece_path: str):
         import base64
@@ -103,102 +69,158 @@ class Aligner:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.a = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        self.a_bytes = {i: token for token, i in ranks.items()}
+        self.a_bytes = [b""] * self.a.n_vocab
+        for token, i in ranks.items():
+            self.a_bytes[i] = token
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
-        self.lead = self.b.encode("x")
-        self.checked()
-        self.units: dict[str, Unit | None] = {}
+        if max(len(self.a_bytes), len(self.b_bytes)) > 1 << 16:
+            raise ValueError("ids are kept in 16 bits")
+        self.a_length = np.array(list(map(len, self.a_bytes)), np.int64)
+        self.b_length = np.array(list(map(len, self.b_bytes)), np.int64)
+        # How an id is written inside and at the end of its side of a group, A before B.
+        ids = [range(len(self.a_bytes)), range(len(self.b_bytes))]
+        self.written = [f"{i}{sign}" for side, end in zip(ids, "|;") for i in side for sign in ("," + end)]
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def checked(self) -> None:
-        """Units are independent only if no piece goes on with a cut after another character."""
-        crossing = re.compile(rf"[^\s][{_CUT}]")
-        wrong = [p for i, p in enumerate(self.b_bytes) if not self.b.is_byte(i) and crossing.search(p.decode())]
-        if wrong:
-            raise ValueError(f"pieces reach into the next unit: {wrong[:5]}")
-
-    def _aligned(self, text: str, b: list[int]) -> Unit | None:
-        """``text`` with its leading space; None if either side's bytes differ from it."""
-        a = self.a.encode_ordinary(text)
-        raw = text.encode()
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-            return None
-        return align(a, np.cumsum(list(map(len, a_parts))).tolist(), b, np.cumsum(list(map(len, b_parts))).tolist())
-
-    def unit(self, text: str) -> Unit | None:
-        try:
-            return self.units[text]
-        except KeyError:
-            pass
-        if text[0] == " " and text[1:2].strip():
-            b = self.b.encode(text[1:])
-        else:
-            # A piece of text before it stands in for what precedes the unit.
-            b = self.b.encode("x" + text)[len(self.lead) :]
-        found = self._aligned(text, b)
-        if len(text) <= _CACHED_LENGTH:
-            if len(self.units) >= _CACHED:
-                self.units.clear()
-            self.units[text] = found
-        return found
-
-    def document(self, text: str | None) -> list[Unit]:
-        """The units of a whole text; none if it has no tokens."""
+    def encode(self, text: str | None) -> tuple[bytes, bytes]:
+        """Ids of both sides, 16 bits each; none if a side's bytes are not those of a space and the text."""
         if not text:
-            return []
-        texts = _UNITS.findall(" " + text)
-        if any(t[0] not in _CUT for t in texts):
-            # Blanks of other kinds: the whole text is one unit.
-            whole = self._aligned(" " + text, self.b.encode(text))
-            return [whole] if whole else []
-        units = list(map(self.unit, texts))
-        return [] if None in units else units
+            return b"", b""
+        full = " " + text
+        raw, a, b = full.encode(), self.a.encode_ordinary(full), self.b.encode(text)
+        for ids, known in ((a, self.a_bytes), (b, self.b_bytes)):
+            if b"".join(map(known.__getitem__, ids)) != raw:
+                return b"", b""
+        return np.array(a, _IDS).tobytes(), np.array(b, _IDS).tobytes()
 
 
 @cache
-def aligner(byte_path: str, piece_path: str) -> Aligner:
+def vocabularies(byte_path: str, piece_path: str) -> Vocabularies:
     """One per task process."""
-    return Aligner(byte_path, piece_path)
+    return Vocabularies(byte_path, piece_path)
 
 
-def _documents(batches: Iterator[pa.RecordBatch], paths: tuple[str, str], column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Batches of at most 256 rows with the units of their texts."""
-    found = aligner(*paths)
-    for batch in small(batches, 256):
-        yield batch, [found.document(t.as_py()) for t in batch.column(column)]
+@dataclass(frozen=True)
+class Aligned:
+    """The links of consecutive documents: ids ``a`` and ``b`` of each, and whether a group closes with it.
 
+    ``first`` is the number of the first link of each document, with one more entry than documents.
+    """
 
-def distinct_pairs(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
-    """Column pair: every linked id pair (a << 32 | b) of the corpus, once."""
+    a: np.ndarray
+    b: np.ndarray
+    a_at: np.ndarray
+    b_at: np.ndarray
+    closes: np.ndarray
+    first: np.ndarray
+
+    @property
+    def pairs(self) -> np.ndarray:
+        return self.a.astype(np.int64) << 32 | self.b
+
+
+def align(a: np.ndarray, b: np.ndarray, a_length: np.ndarray, b_length: np.ndarray, a_first: np.ndarray) -> Aligned:
+    """Align the tokens of consecutive documents, which have the same bytes on both sides.
+
+    Between two neighbouring token ends, of either side, lies one token of each side: a link.
+    """
+    a_ends, b_ends = np.cumsum(a_length[a]), np.cumsum(b_length[b])
+    total = int(a_ends[-1]) if len(a_ends) else 0
+    of_a, of_b = np.zeros(total + 1, bool), np.zeros(total + 1, bool)
+    of_a[a_ends], of_b[b_ends] = True, True
+    at = np.flatnonzero(of_a | of_b)
+    a_closes, b_closes = of_a[at], of_b[at]
+    a_at, b_at = np.cumsum(a_closes) - a_closes, np.cumsum(b_closes) - b_closes
+    starts = np.concatenate([[0], a_ends])[a_first]
+    return Aligned(a[a_at], b[b_at], a_at, b_at, a_closes & b_closes, np.searchsorted(at, starts, "right"))
+
+
+def _columns(batch: pa.RecordBatch, one: int, two: int) -> tuple[np.ndarray, ...]:
+    """Ids of two binary columns of a batch and the number of each row's first id."""
+    out = []
+    for k in (one, two):
+        column = batch.column(k).cast(pa.large_binary())
+        _, offsets, data = column.buffers()
+        at = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8)
+        raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8)
+        out += [raw.view(_IDS), (at - at[0]) // _IDS.itemsize]
+    return tuple(out)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], one: int, two: int) -> Iterator[tuple[pa.RecordBatch, tuple]]:
+    """Batches cut to a bounded number of ids, with their ids."""
+    for batch in batches:
+        _, a_first, _, _ = _columns(batch, one, two)
+        for lo, hi in blocks(a_first * _IDS.itemsize, _BLOCK):
+            part = batch.slice(lo, hi - lo)
+            yield part, _columns(part, one, two)
+
+
+def encoded(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
+    """Per row doc_id, both sides' ids, and what its own alignment says."""
+    names = ["n_a", "n_b", "n_groups", "n_links"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Kept units are the same objects each time, and stay alive as long as their identity stands for them.
-        seen: dict[int, Unit] = {}
-        fresh: list[np.ndarray] = []
-        waiting = 0
-        for _, units in _documents(batches, paths, 0):
-            for unit in (u for doc in units for u in doc):
-                if id(unit) not in seen:
-                    seen[id(unit)] = unit
-                    fresh.append(unit.pairs)
-                    waiting += len(unit.pairs)
-            if waiting > _PENDING or len(seen) > _CACHED:
-                if fresh:
-                    yield batch_of(fresh)
-                fresh, waiting = [], 0
-                seen.clear()
-        if fresh:
-            yield batch_of(fresh)
+        known = vocabularies(*paths)
+        for batch in small(batches, 256):
+            ids = [known.encode(t.as_py()) for t in batch.column(1)]
+            kept = pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array([i[k] for i in ids], pa.binary()) for k in (0, 1))], ["doc_id", "a", "b"]
+            )
+            for part, (a, a_first, b, b_first) in _slices(iter([kept]), 1, 2):
+                found = align(a, b, known.a_length, known.b_length, a_first)
+                counts = [np.diff(a_first), np.diff(b_first), _sums(found.closes, found.first), np.diff(found.first)]
+                digests = pa.array(list(_digests(known, a, b, a_first, b_first, found)), pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, *(pa.array(c.astype(np.int64)) for c in counts), digests],
+                    ["doc_id", "a", "b", *names, "groups_sha256"],
+                )
         give_back()
 
-    def batch_of(fresh: list[np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(fresh)))], ["pair"])
+    shape = f"doc_id long, a binary, b binary, {', '.join(f'{n} long' for n in names)}, groups_sha256 string"
+    return docs.mapInArrow(work, shape)
+
+
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sum of the values of each document."""
+    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    return total[first[1:]] - total[first[:-1]]
+
+
+def _digests(known: Vocabularies, a, b, a_first, b_first, found: Aligned) -> Iterator[str]:
+    """The hash of each document's groups as text."""
+    # Of each token: is it the last of its group, and how many tokens of the other side are written before it?
+    a_last, b_last = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    a_end, b_end = found.a_at[found.closes], found.b_at[found.closes]
+    a_last[a_end], b_last[b_end] = True, True
+    a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+    order = np.empty(len(a) + len(b), np.int64)
+    before = np.concatenate([[0], b_end + 1])
+    order[np.arange(len(a)) + before[a_group]] = 2 * a.astype(np.int64) + a_last
+    order[np.arange(len(b)) + a_end[b_group] + 1] = 2 * (b.astype(np.int64) + len(known.a_bytes)) + b_last
+    for lo, hi in zip(a_first + b_first, a_first[1:] + b_first[1:]):
+        text = "".join(map(known.written.__getitem__, order[lo:hi].tolist()))
+        yield hashlib.sha256(text[:-1].encode()).hexdigest() if text else ""
+
+
+def distinct_pairs(ids: DataFrame, paths: tuple[str, str]) -> DataFrame:
+    """Column pair: every linked id pair (a << 32 | b) of the corpus, once."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabularies(*paths)
+        seen = np.zeros(0, np.int64)
+        for _, (a, a_first, b, _) in _slices(batches, 0, 1):
+            seen = np.union1d(seen, align(a, b, known.a_length, known.b_length, a_first).pairs)
+            if len(seen) > _PENDING:
+                yield pa.RecordBatch.from_arrays([pa.array(seen)], ["pair"])
+                seen = seen[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(seen)], ["pair"])
+        give_back()
 
-    return docs.select("text").mapInArrow(work, "pair long").distinct()
+    return ids.select("a", "b").mapInArrow(work, "pair long").distinct()
 
 
 def hashed_parts(pairs: DataFrame, parts: int) -> DataFrame:
@@ -260,30 +282,6 @@ class Lookup:
         return np.concatenate([self.hashes[p].keys for p in sorted(self.hashes)]) if self.hashes else np.zeros(0, np.int64)
 
 
-class _Slots:
-    """The slots of units' pairs, found for a batch of documents at once and kept; bounded like the units."""
-
-    def __init__(self, lookup: Lookup):
-        self.lookup = lookup
-        self.known: dict[int, tuple[Unit, np.ndarray]] = {}
-
-    def load(self, docs: list[list[Unit]]) -> list[tuple[Unit, np.ndarray]]:
-        """Look the units up that are not known; returns these with their slots."""
-        if len(self.known) >= _CACHED:
-            self.known.clear()
-        fresh = list({id(u): u for doc in docs for u in doc if id(u) not in self.known}.values())
-        if not fresh:
-            return []
-        slots = self.lookup.find(np.concatenate([u.pairs for u in fresh]))
-        ends = np.cumsum([len(u.pairs) for u in fresh]).tolist()
-        new = [(u, slots[end - len(u.pairs) : end]) for u, end in zip(fresh, ends)]
-        self.known.update((id(u), (u, at)) for u, at in new)
-        return new
-
-    def of(self, unit: Unit) -> np.ndarray:
-        return self.known[id(unit)][1]
-
-
 def _packed(counts: np.ndarray) -> bytes:
     return _CODEC.compress(counts.astype(np.int64).tobytes(), asbytes=True)
 
@@ -292,27 +290,35 @@ def _unpacked(blob: bytes) -> np.ndarray:
     return np.frombuffer(_CODEC.decompress(blob, 8 * _SEGMENT, asbytes=True), np.int64)
 
 
-def document_counts(docs: DataFrame, lookup: Lookup, paths: tuple[str, str]) -> np.ndarray:
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+
+
+def document_counts(ids: DataFrame, lookup: Lookup, paths: tuple[str, str]) -> np.ndarray:
     """In how many documents each slot's pair is linked: dense vectors of tasks, summed in a tree."""
-    spark = docs.sparkSession
+    spark = ids.sparkSession
     shared = spark.sparkContext.broadcast(lookup)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        slots = _Slots(shared.value)
+        known, slots = vocabularies(*paths), shared.value
         segments: dict[int, np.ndarray] = {}
-        for _, units in _documents(batches, paths, 0):
-            slots.load(units)
-            for doc in filter(None, units):
-                distinct = {id(u): u for u in doc}.values()
-                at = np.unique(np.concatenate([slots.of(u) for u in distinct]))
-                at = at[at >= 0]
-                number = at // _SEGMENT
-                cuts = np.flatnonzero(np.diff(number, prepend=-1))
-                for lo, hi in zip(cuts, [*cuts[1:], len(at)]):
-                    segment = segments.setdefault(int(number[lo]), np.zeros(_SEGMENT, np.int64))
-                    segment[at[lo:hi] % _SEGMENT] += 1
+        for _, (a, a_first, b, _) in _slices(small(batches), 0, 1):
+            found = align(a, b, known.a_length, known.b_length, a_first)
+            # 16 bits each for A, B and the document of the batch: sorted, equal ones are one.
+            doc = np.repeat(np.arange(len(found.first) - 1), np.diff(found.first))
+            keys = np.sort(found.a.astype(np.int64) << 32 | found.b.astype(np.int64) << 16 | doc)
+            keys = keys[_runs(keys)] >> 16
+            begin = _runs(keys)
+            n = np.diff(np.append(begin, len(keys)))
+            pair = keys[begin]
+            at = slots.find(pair >> 16 << 32 | pair & 0xFFFF)
+            n, at = n[at >= 0], at[at >= 0]
+            for number in np.unique(at // _SEGMENT).tolist():
+                mine = at // _SEGMENT == number
+                segments.setdefault(number, np.zeros(_SEGMENT, np.int64))[at[mine] % _SEGMENT] += n[mine]
         task = TaskContext.get().partitionId()
         for number in sorted(segments):
             yield vector(number, task, segments.pop(number))
@@ -337,7 +343,7 @@ def document_counts(docs: DataFrame, lookup: Lookup, paths: tuple[str, str]) ->
             yield vector(*now, total)
 
     shape = "segment long, task long, counts binary"
-    vectors = freeze(docs.select("text").mapInArrow(work, shape))
+    vectors = freeze(ids.select("a", "b").mapInArrow(work, shape))
     while not vectors.groupBy("segment").count().where("count > 1").isEmpty():
         grouped = vectors.withColumn("task", F.floor(F.col("task") / FAN_IN))
         ordered = grouped.repartition("segment", "task").sortWithinPartitions("segment", "task")
@@ -357,8 +363,31 @@ def _rounds(parts: DataFrame, total: int, budget: int) -> Iterator[Lookup]:
         yield Lookup(parts.where((F.col("part") >= lo) & (F.col("part") < lo + each)).collect(), total)
 
 
-def _best(highest: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    return counts == highest[keys >> 32]
+def look_up(frame: DataFrame, shared, paths: tuple[str, str]) -> DataFrame:
+    """Add what the broadcast (lookup, counts, best) knows of each row's links to n_best and count_sum."""
+    names = frame.columns
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabularies(*paths)
+        lookup, counts, best = shared.value
+        # The last entry stands for pairs of other rounds.
+        counts, best = np.append(counts, 0), np.append(best, False)
+        for part, (a, a_first, b, _) in _slices(batches, 1, 2):
+            found = align(a, b, known.a_length, known.b_length, a_first)
+            # Sorted by pair with the link's place in the low bits, so that each pair is looked up once.
+            width = max(len(found.a), 1).bit_length()
+            keys = np.sort((found.a.astype(np.int64) << 16 | found.b) << width | np.arange(len(found.a)))
+            place, pair = keys & ((1 << width) - 1), keys >> width
+            begin = _runs(pair)
+            slot = lookup.find(pair[begin] >> 16 << 32 | pair[begin] & 0xFFFF)
+            of_link = np.empty(len(keys), np.int64)
+            of_link[place] = np.repeat(slot, np.diff(np.append(begin, len(keys))))
+            sums = (_sums(v[of_link], found.first) for v in (best, counts))
+            added = [pa.array(c.to_numpy(zero_copy_only=False) + s) for c, s in zip(part.columns[-2:], sums)]
+            yield pa.RecordBatch.from_arrays([*part.columns[:-2], *added], names)
+        give_back()
+
+    return frame.mapInArrow(work, frame.schema)
 
 
 def aligned_counts(
@@ -377,77 +406,29 @@ def aligned_counts(
     long texts are aligned whole. Repeated rows count each; ties are all best; rows without doc_id stay and count.
     An empty table gives no rows. Other columns are not looked at, whatever their names.
     """
-    spark: SparkSession = docs.sparkSession
+    spark = docs.sparkSession
     paths = paths or vocabulary_paths()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pairs = freeze(distinct_pairs(rows, paths))
+    ids = freeze(encoded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), paths))
+    pairs = freeze(distinct_pairs(ids, paths))
     parts = even_parts(pairs.count(), part_keys)
     hashed = hashed_parts(pairs, parts)
 
     # Highest count of each A id: one number for each entry of the vocabulary.
-    highest = np.zeros(aligner(*paths).a.n_vocab, np.int64)
+    highest = np.zeros(1 << 16, np.int64)
     counted: list[np.ndarray] = []
     for lookup in _rounds(hashed, parts, broadcast_bytes):
-        counts = document_counts(rows, lookup, paths)
+        counts = document_counts(ids, lookup, paths)
         np.maximum.at(highest, lookup.keys() >> 32, counts)
         counted.append(counts)
 
-    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    shape = f"doc_id long, text string, {', '.join(f'{n} long' for n in names)}, groups_sha256 string"
-
-    def looked_up(frame: DataFrame, shared, first: bool, last: bool) -> DataFrame:
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lookup, counts, best = shared.value
-            slots = _Slots(lookup)
-            sums: dict[int, tuple[int, ...]] = {}
-
-            def load(docs: list[list[Unit]]) -> None:
-                new = slots.load(docs)
-                if not new:
-                    return
-                at = np.concatenate([a for _, a in new])
-                times = np.concatenate([u.times for u, _ in new])
-                begin = np.cumsum([0, *(len(a) for _, a in new[:-1])])
-                found = at >= 0
-                links, at = np.add.reduceat(times, begin).tolist(), np.maximum(at, 0)
-                if len(counts):
-                    best_of = np.add.reduceat(np.where(found & best[at], times, 0), begin).tolist()
-                    sum_of = np.add.reduceat(np.where(found, times * counts[at], 0), begin).tolist()
-                else:
-                    best_of = sum_of = [0] * len(new)
-                # The slots were cleared: what is known now is all that this batch needs.
-                if len(slots.known) == len(new):
-                    sums.clear()
-                sums.update(
-                    (id(u), (u.n_a, u.n_b, u.n_groups, n, m, c)) for (u, _), n, m, c in zip(new, links, best_of, sum_of)
-                )
-
-            for batch, units in _documents(batches, paths, 1):
-                load(units)
-                table = [tuple(map(sum, zip(*(sums[id(u)] for u in doc)))) or (0,) * len(names) for doc in units]
-                columns = list(zip(*table))
-                if first:
-                    texts = (";".join(u.groups for u in doc) for doc in units)
-                    digests = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
-                else:
-                    # Rounds see each link once; what does not depend on counts is there already.
-                    columns = [*(batch.column(2 + k).to_pylist() for k in range(4)), *columns[4:]]
-                    for k in (4, 5):
-                        columns[k] = [a + b for a, b in zip(columns[k], batch.column(2 + k).to_pylist())]
-                    digests = batch.column(8)
-                text = pa.nulls(batch.num_rows, pa.string()) if last else batch.column(1)
-                arrays = [batch.column(0), text, *(pa.array(c, pa.int64()) for c in columns), pa.array(digests)]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text", *names, "groups_sha256"])
-            give_back()
-
-        return frame.mapInArrow(work, shape)
-
-    frame = rows
-    total = len(counted)
+    zero = F.lit(0).cast("long")
+    frame = ids.select(
+        "doc_id", "a", "b", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", zero.alias("n_best"), zero.alias("count_sum")
+    )
     for k, lookup in enumerate(_rounds(hashed, parts, broadcast_bytes)):
-        counts = counted[k]
-        shared = spark.sparkContext.broadcast((lookup, counts, _best(highest, lookup.keys(), counts)))
-        frame = looked_up(frame, shared, k == 0, k == total - 1)
-        if k < total - 1:
+        if k:
             frame = freeze(frame)
-    return frame.drop("text")
+        counts = counted[k]
+        best = counts == highest[lookup.keys() >> 32]
+        frame = look_up(frame, spark.sparkContext.broadcast((lookup, counts, best)), paths)
+    return frame.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

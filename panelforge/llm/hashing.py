@@ -2,7 +2,7 @@
 
 A part holds the keys of one value of ``part_of``. Its hash is a cascade of bit arrays: a key whose place in a
 level no other key shares owns that bit, the others go on to the next level; a key's number is the
-count of bits before its own. So n keys get the numbers 0 to n - 1 and cost about three bits each. The
+count of bits before its own. So n keys get the numbers 0 to n - 1 and cost some three bits each. The
 keys are kept by number beside it, so that a lookup is verified: a key that is not in the part has none.
 """
 
@@ -42,7 +42,7 @@ class PerfectHash:
         """Of distinct keys (signed 64-bit)."""
         left, sizes, levels = keys.astype(np.uint64), [], []
         while len(left):
-            size = max(len(left), 2)
+            size = 2 * len(left)
             at = _place(left, len(sizes), size)
             alone = np.bincount(at, minlength=size) == 1
             levels.append(alone)
