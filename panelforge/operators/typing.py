@@ -13,15 +13,15 @@ from panelforge.functions.clean import CLEANERS
 from panelforge.functions.dictionaries import RESERVED, SnapshotFamily
 
 
-def apply_dictionary(df: DataFrame, family: SnapshotFamily) -> DataFrame:
-    """Clean every known column in one projection; unknown columns stay as they are."""
-    unknown = sorted(set(df.columns) - set(family.kinds) - set(RESERVED))
+def apply_dictionary(df: DataFrame, family: SnapshotFamily, reserved: Sequence[str] = RESERVED) -> DataFrame:
+    """Clean every known column in one projection; unknown and ``reserved`` columns stay as they are."""
+    unknown = sorted(set(df.columns) - set(family.kinds) - set(reserved))
     if unknown:
         warnings.warn(f"{family.label}: columns kept as text: {unknown}", stacklevel=2)
 
     def cleaned(name: str):
         column = F.col(f"`{name}`")
-        kind = None if name in RESERVED else family.kinds.get(name)
+        kind = None if name in reserved else family.kinds.get(name)
         return CLEANERS[kind](column).alias(name) if kind else column
 
     return df.select(*map(cleaned, df.columns))

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import csv
 import datetime
-import re
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,6 +15,7 @@ from pyspark.sql import types as T
 
 from panelforge.functions.dictionaries import (
     PROCESSED_AT,
+    RESERVED,
     SNAPSHOT_DATE,
     SOURCE_FILE,
     SnapshotFamily,
@@ -24,6 +23,8 @@ from panelforge.functions.dictionaries import (
 from panelforge.functions.names import snapshot_month
 from panelforge.operators.contracts import normalized_names, reject_reserved, require_columns
 from panelforge.operators.typing import apply_dictionary, union_drifting
+from panelforge.sources.files import first_lines
+from panelforge.sources.silver import RAW, SilverTable, metadata_fields
 
 # How the snapshot files are written.
 CSV_OPTIONS = {
@@ -86,28 +87,12 @@ def discover(spark: SparkSession, folder: str, family: SnapshotFamily) -> list[S
     return resolve(list_snapshots(spark, folder, family), family, folder)
 
 
-def _headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, ...]]:
-    """Raw header of each file, by one job over all of them.
+def headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, ...]]:
+    """Header of each file, from its first bytes; see ``first_lines``.
 
-    The first line of a file is the one with the least row number in its first split; each
-    task keeps one line per file. Names are made unique as Spark's CSV reader does it.
+    Names are made unique as Spark's CSV reader does it.
     """
-    lines = spark.read.text(list(paths))
-    first = (
-        lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
-        .withColumn("at", F.monotonically_increasing_id())
-        .where("file_block_start = 0")
-        .groupBy("file_path")
-        .agg(F.min(F.struct("at", "value")).alias("line"))
-        .select("file_path", "line.value")
-    )
-    found = {_plain_path(r["file_path"]): r["value"] for r in first.collect()}
-    return [_header_names(found.get(_plain_path(p), "")) for p in paths]
-
-
-def _plain_path(path: str) -> str:
-    """A path without scheme and escapes, as listing and reading spell these differently."""
-    return re.sub(r"^[a-z][a-z0-9+.-]*:/*", "/", unquote(path))
+    return [_header_names(line.text) for line in first_lines(spark, paths)]
 
 
 def _header_names(line: str) -> tuple[str, ...]:
@@ -119,36 +104,60 @@ def _header_names(line: str) -> tuple[str, ...]:
 
 
 def read_snapshots(
-    spark: SparkSession, files: Sequence[SnapshotFile], family: SnapshotFamily
+    spark: SparkSession,
+    files: Sequence[SnapshotFile],
+    family: SnapshotFamily,
+    known: Sequence[tuple[str, ...]] | None = None,
+    with_raw: bool = False,
 ) -> DataFrame:
     """All snapshots as text under normalised names, with file name and month.
 
     Spark applies one header by position when it reads several CSV files, so files are
     grouped by identical header and every group is one scan; years of unchanged releases
-    cost one scan, not one per month.
+    cost one scan, not one per month. ``known`` gives headers that were read before. ``with_raw`` adds the
+    raw text of records that have more or fewer fields than their header; they are read all the same.
     """
     groups: dict[tuple[str, ...], list[SnapshotFile]] = {}
-    for file, header in zip(files, _headers(spark, [f.path for f in files]), strict=True):
+    for file, header in zip(files, known or headers(spark, [f.path for f in files]), strict=True):
         groups.setdefault(header, []).append(file)
 
+    misfit = spark.conf.get("spark.sql.columnNameOfCorruptRecord", "_corrupt_record")
     frames = []
     for header, members in groups.items():
         source = members[0].name
         names = normalized_names(list(header), source)
         reject_reserved(names, source)
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *[misfit] * with_raw]])
         scan = spark.read.options(**CSV_OPTIONS).schema(schema).csv([f.path for f in members])
         require_columns(scan, family.required, source)
         name = F.col("_metadata.file_name")
+        raw = [F.col(f"`{misfit}`").alias(RAW)] * with_raw
         frames.append(
-            scan.select("*", name.alias(SOURCE_FILE), snapshot_month(name).alias(SNAPSHOT_DATE))
+            scan.select(*(f"`{n}`" for n in names), *raw, name.alias(SOURCE_FILE), snapshot_month(name).alias(SNAPSHOT_DATE))
         )
     return union_drifting(frames)
 
 
-def silver(spark: SparkSession, files: Sequence[SnapshotFile], family: SnapshotFamily) -> DataFrame:
-    raw = read_snapshots(spark, files, family).withColumn(PROCESSED_AT, F.current_timestamp())
-    return require_columns(apply_dictionary(raw, family), family.required, family.label)
+def silver(
+    spark: SparkSession,
+    files: Sequence[SnapshotFile],
+    family: SnapshotFamily,
+    known: Sequence[tuple[str, ...]] | None = None,
+    with_raw: bool = False,
+) -> DataFrame:
+    read = read_snapshots(spark, files, family, known, with_raw).withColumn(PROCESSED_AT, F.current_timestamp())
+    return require_columns(apply_dictionary(read, family, (*RESERVED, RAW)), family.required, family.label)
+
+
+# Types of cleaned columns; all others stay text.
+_TYPES = {"date": T.DateType(), "number": T.DoubleType()}
+
+
+def silver_schema(found: Sequence[Sequence[str]], family: SnapshotFamily) -> T.StructType:
+    """Columns of silver for files with these headers: those of the build, the added ones last."""
+    names = dict.fromkeys(n for header in found for n in normalized_names(list(header), family.label))
+    fields = [T.StructField(n, _TYPES.get(family.kinds.get(n), T.StringType())) for n in names]
+    return T.StructType([*fields, *metadata_fields()])
 
 
 def build_silver(spark: SparkSession, folder: str, family: SnapshotFamily) -> DataFrame:
@@ -157,26 +166,26 @@ def build_silver(spark: SparkSession, folder: str, family: SnapshotFamily) -> Da
 
 
 def write_silver(df: DataFrame, path: str) -> dict:
-    """Overwrite the silver table; returns rows, columns and schema seen by the one pass."""
-    watch = Observation()
-    df.observe(watch, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return {"rows": watch.get["rows"], "columns": len(df.columns), "schema": df.schema}
-
+    """``df`` as the whole silver table at ``path``, committed as its next version.
 
-# One folder per month and file: a file that is read again replaces exactly its own rows,
-# and two files of one month do not overwrite each other.
-SILVER_LAYOUT = (SNAPSHOT_DATE, SOURCE_FILE)
+    Returns number, rows, columns and schema of the version, from the one pass that writes it.
+    """
+    watch = Observation()
+    observed = df.observe(watch, F.count(F.lit(1)).alias("rows"))
+    version = SilverTable(df.sparkSession, path).replace_all(observed)
+    return {
+        "version": version.number,
+        "rows": watch.get["rows"],
+        "columns": len([c for c in df.columns if c != RAW]),
+        "schema": df.schema,
+    }
 
 
-def write_silver_by_file(df: DataFrame, path: str) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*SILVER_LAYOUT)
-        .parquet(path)
-    )
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    """The committed rows of a silver table, under the schema stored with them."""
+    return SilverTable(spark, path).read()
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    """A silver table, with the union of all columns its files have."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def rejected_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Records of the silver table that do not fit their header: file, month and raw text."""
+    return SilverTable(spark, path).rejected()

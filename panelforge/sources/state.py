@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from panelforge.operators.manifest import ENTRY, MANIFEST
 from panelforge.schemas import columns
+from panelforge.sources.files import hadoop_path, path_exists
 from panelforge.sources.gold import in_order
 
 # Fixed value: schema version whose manifests carry checksums.
@@ -31,16 +32,6 @@ CURSOR = columns(
 )
 
 
-def hadoop_path(spark: SparkSession, path: str):
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    found, fs = hadoop_path(spark, path)
-    return fs.exists(found)
-
-
 def read_manifest_document(spark: SparkSession, path: str) -> DataFrame | None:
     """Manifest rows of one JSON state document, with its schema version; None if absent.
 

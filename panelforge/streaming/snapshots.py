@@ -6,20 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from panelforge.functions.dictionaries import PROCESSED_AT, SnapshotFamily
+from panelforge.functions.dictionaries import SNAPSHOT_DATE, SnapshotFamily
+from panelforge.operators.rank import rank_rows
 from panelforge.runtime import freeze
 from panelforge.schemas import columns
+from panelforge.sources.silver import SilverTable, frozen_plan
 from panelforge.sources.snapshots import (
-    SILVER_LAYOUT,
     csv_glob,
+    headers,
     list_snapshots,
     matching,
     resolve,
     silver,
+    silver_schema,
     with_month,
-    write_silver_by_file,
 )
-from panelforge.sources.state import hadoop_path, path_exists
 
 # Columns of Spark's binaryFile source. Only names are selected; contents are pruned.
 FILES = columns(
@@ -44,8 +45,8 @@ def snapshot_stream(
     are written again under their name are for ``refresh_silver``.
 
     The stream carries file names. Each micro-batch reads its files grouped by header, so
-    a changed layout is a wider union and not a broken stream schema, and overwrites the
-    folders of exactly those files: replaying a batch after a failure changes nothing.
+    a changed layout is a wider union and not a broken stream schema, and commits a version in which
+    they replace their own rows: replaying a batch after a failure changes nothing.
     The file list of one batch, at most ``files_per_batch`` names, is known to the driver.
     """
     files = (
@@ -57,13 +58,10 @@ def snapshot_stream(
     )
 
     def land(batch: DataFrame, _batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if not batch.isEmpty():
-                found = resolve(with_month(batch), family, folder)
-                write_silver_by_file(silver(batch.sparkSession, found, family), target)
-        finally:
-            batch.unpersist()
+        session = batch.sparkSession
+        found = freeze(with_month(batch).withColumn("state", F.lit("new")))
+        if not found.isEmpty():
+            _land(SilverTable(session, target), found, family, folder)
 
     return (
         matching(files, family)
@@ -74,28 +72,29 @@ def snapshot_stream(
     )
 
 
-# What was read into silver: one row per file and reading.
-LEDGER = columns("path string, modificationTime timestamp, length long, readAt timestamp")
+def _land(table: SilverTable, batch: DataFrame, family: SnapshotFamily, where: str) -> int:
+    """Read the files of ``batch`` (as ``reconciled``, written) anew, drop the rows of removed ones, and commit."""
+    spark = table.spark
+    present = batch.where("state <> 'removed'")
+    found = [] if present.isEmpty() else resolve(present, family, where)
+    lines = headers(spark, [f.path for f in found])
+    rows = silver(spark, found, family, lines, with_raw=True) if found else None
+    read = spark.createDataFrame([(f.name, list(h)) for f, h in zip(found, lines)], "file_name string, header array<string>")
+    removed = F.col("state") == "removed"
+    updates = batch.drop("header").join(F.broadcast(read), "file_name", "left").select(
+        "file_name", "path", SNAPSHOT_DATE, "modificationTime", "length", F.current_timestamp().alias("readAt"),
+        *(F.lit(None).cast("long").alias(c) for c in ("rows", "malformed")), removed.alias("removed"), "header",
+    )
+    others = table.ledger().join(F.broadcast(batch.select("file_name")), "file_name", "left_anti")
+    ledger = freeze(others.select(*updates.columns).unionByName(updates))
+    table.apply(ledger, rows, batch, silver_schema(_layouts(ledger), family))
+    return len(found)
 
 
-def _ledger_path(target: str) -> str:
-    return f"{target.rstrip('/')}.ledger"
-
-
-def _pending(spark: SparkSession, folder: str, family: SnapshotFamily, target: str) -> DataFrame:
-    """Listed files that differ from what was last read under their path, or were never read."""
-    listed = list_snapshots(spark, folder, family)
-    ledger = _ledger_path(target)
-    if not path_exists(spark, ledger):
-        return listed
-    last = (
-        spark.read.schema(LEDGER)
-        .parquet(ledger)
-        .groupBy("path")
-        .agg(F.max(F.struct("readAt", "modificationTime", "length")).alias("l"))
-        .select("path", "l.modificationTime", "l.length")
-    )
-    return listed.join(last, ["path", "modificationTime", "length"], "left_anti")
+def _layouts(ledger: DataFrame) -> list[list[str]]:
+    """The distinct headers of the files that are there, in the order in which a build meets them."""
+    live = ledger.where("NOT removed AND header IS NOT NULL")
+    return [r["header"] for r in live.groupBy("header").agg(F.min("path").alias("p")).orderBy("p").collect()]
 
 
 def refresh_silver(
@@ -107,36 +106,26 @@ def refresh_silver(
 ) -> int:
     """Bring silver up to date with ``folder`` and return how many files were read.
 
-    A ledger next to the table holds path, time and length of every file read. New, late and
-    restated files, told by these, replace exactly their own rows; a file that has no rows any
-    more loses them. The ledger is written after the rows, so a run that fails in between
-    is repeated by the next. At most ``files_per_batch`` names are known to the driver at once.
+    The folder is listed once and met with the ledger by a full outer join on the file name. New, late and restated
+    files, told by time and length, replace exactly their own rows; emptied files lose them, and so do removed and
+    renamed ones, of which the ledger keeps a tombstone. At most ``files_per_batch`` files are handled at once, in the
+    order of their months; each such step is a committed version, so readers see whole months, old or new, and
+    a run that fails in between is repeated from there by the next. A folder without any file of the family is an
+    error, not an order to empty the table.
     """
+    table = SilverTable(spark, target)
+    plan = frozen_plan(list_snapshots(spark, folder, family), table)
+    if plan.where("state NOT IN ('removed', 'gone')").isEmpty():
+        raise FileNotFoundError(f"no {family.label} matching {family.file_pattern} in {folder}")
+    pending = plan.where("state IN ('new', 'changed', 'removed')")
+    total = pending.count()
+    if total > files_per_batch:
+        order = [SNAPSHOT_DATE, "file_name"]
+        pending = freeze(rank_rows(pending, [F.col(c) for c in order], order, "_rank"))
     read = 0
-    while True:
-        batch = freeze(_pending(spark, folder, family, target).orderBy("path").limit(files_per_batch))
-        names = batch.count()
-        if not names:
-            return read
-        began = spark.sql("SELECT current_timestamp()").first()[0]
-        found = resolve(batch, family, folder)
-        write_silver_by_file(silver(spark, found, family), target)
-        _drop_emptied(spark, target, [(f.month, f.name) for f in found], began)
-        batch.select("path", "modificationTime", "length", F.current_timestamp().alias("readAt")).write.mode(
-            "append"
-        ).parquet(_ledger_path(target))
-        read += names
-
-
-def _drop_emptied(spark: SparkSession, target: str, files: list[tuple], began) -> None:
-    """Delete the folders of files just read whose rows are all from an earlier reading."""
-    month, name = SILVER_LAYOUT
-    folders = [f"{target.rstrip('/')}/{month}={m}/{name}={n}" for m, n in files]
-    there = [f for f in folders if path_exists(spark, f)]
-    if not there:
-        return
-    rows = spark.read.option("basePath", target).parquet(*there)
-    stale = rows.groupBy(month, name).agg(F.max(PROCESSED_AT).alias("at")).where(F.col("at") < F.lit(began))
-    for row in stale.collect():
-        folder, fs = hadoop_path(spark, f"{target.rstrip('/')}/{month}={row[month]}/{name}={row[name]}")
-        fs.delete(folder, True)
+    for done in range(0, total, files_per_batch):
+        step = pending
+        if total > files_per_batch:
+            step = pending.where(F.col("_rank").between(done + 1, done + files_per_batch)).drop("_rank")
+        read += _land(table, freeze(step), family, folder)
+    return read

@@ -472,6 +472,28 @@ SELECT 'incremental' AS mode,
   CAST(0 AS BIGINT) AS moved, count(*) FILTER (kind = 'file' AND part = 1 AND NOT added_tree) AS deleted,
   count(*) FILTER (kind = 'folder' AND added_tree) AS folder_markers_created
 FROM seen""",
+    "removed_release": f"""
+SELECT * FROM ({RELEASED}) WHERE year(SNAPSHOT_DATE) <> 1995
+  AND (year(SNAPSHOT_DATE) <> 1996 OR CAST(ORDER_NUMBER AS BIGINT) % 3 > 0)""",
+    "rejected_rows": """
+SELECT make_date(CAST(year(o_orderdate) AS INTEGER), 1, 1) AS SNAPSHOT_DATE,
+  lpad(CAST(o_custkey AS VARCHAR), 6, '0') || ',' || o_orderkey
+    || CASE WHEN o_orderkey % 10 = 1 THEN ',O,x y' ELSE '' END AS RECORD
+FROM orders WHERE o_orderkey % 10 < 2""",
+    "release_ledger": """
+SELECT make_date(CAST(year(o_orderdate) AS INTEGER), 1, 1) AS SNAPSHOT_DATE,
+  CAST(count(*) FILTER (year(o_orderdate) <> 1995) AS BIGINT) AS n_rows,
+  CAST(count(*) FILTER (year(o_orderdate) <> 1995 AND o_orderkey % 10 < 2) AS BIGINT) AS n_malformed,
+  max(year(o_orderdate)) = 1995 AS removed
+FROM orders GROUP BY 1""",
+    "measure_silver_build": """
+SELECT lpad(CAST(o_custkey AS VARCHAR), 6, '0') AS CCN, 'S_' || o_orderkey AS MEASURE_CODE,
+  CASE WHEN o_orderstatus = 'P' THEN 'Not Available' ELSE CAST(o_custkey % 100 AS VARCHAR) END AS SCORE,
+  o_orderpriority[1] AS FOOTNOTE, CAST(o_orderdate AS DATE) AS START_DATE,
+  CAST(CAST(o_orderdate AS DATE) + 30 AS DATE) AS END_DATE,
+  'Skilled_Nursing_Facility_Quality_Reporting_Program_Provider_Data_' || strftime(o_orderdate, '%B%Y') || '.csv' AS SOURCE_FILE_NAME,
+  CAST(date_trunc('month', o_orderdate) AS DATE) AS SNAPSHOT_DATE
+FROM orders""",
     "late_release": RELEASED,
     "restated_release": RELEASED,
     "manifest_state_json": f"""WITH {VERSIONS}

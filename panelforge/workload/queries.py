@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelforge.functions import clean
+from panelforge.functions.dictionaries import MEASURES
 from panelforge.functions.measures import (
     facility_label,
     number_text,
@@ -53,7 +54,8 @@ from panelforge.plans import dashboard, metrics
 from panelforge.plans.mirror import bootstrap_steps, mirror
 from panelforge.runtime import freeze, scratch_path
 from panelforge.sources.gold import load_dashboard, read_gold
-from panelforge.sources.snapshots import build_silver, list_snapshots, read_silver
+from panelforge.sources.silver import SilverTable
+from panelforge.sources.snapshots import build_silver, list_snapshots, read_silver, rejected_rows, write_silver
 from panelforge.sources.state import (
     StateStore,
     read_manifest_json,
@@ -655,6 +657,56 @@ def restated_release(spark, sf):
     return _refreshed(spark, (orders.where("o_orderkey % 3 > 0"), orders))
 
 
+def removed_release(spark, sf):
+    """Between two refreshes one release goes, one is renamed, and one comes back with fewer rows."""
+    folder, target = (scratch_path(spark, label) for label in ("bronze", "silver"))
+    orders = table(spark, sf, "orders")
+    t.land_releases(spark, orders, folder)
+    refresh_silver(spark, folder, t.RELEASES, target)
+    t.remove_release(spark, folder, 1995)
+    t.rename_release(spark, folder, 1993)
+    t.remove_release(spark, folder, 1996)
+    fewer = orders.where((F.year("o_orderdate") == 1996) & (F.col("o_orderkey") % 3 > 0))
+    t.land_releases(spark, fewer, folder)
+    refresh_silver(spark, folder, t.RELEASES, target)
+    return read_silver(spark, target).select(*_RELEASE_COLUMNS)
+
+
+def _misfits(spark, sf):
+    folder, target = (scratch_path(spark, label) for label in ("bronze", "silver"))
+    t.land_misfits(spark, table(spark, sf, "orders"), folder)
+    refresh_silver(spark, folder, t.RELEASES, target)
+    return target
+
+
+def rejected_records(spark, sf):
+    """Records with a field too few or too many, as they stand in their files."""
+    return rejected_rows(spark, _misfits(spark, sf)).select("SNAPSHOT_DATE", "RECORD")
+
+
+def release_ledger(spark, sf):
+    """What the ledger knows after a refresh and the removal of a release."""
+    folder, target = (scratch_path(spark, label) for label in ("bronze", "silver"))
+    t.land_misfits(spark, table(spark, sf, "orders"), folder)
+    refresh_silver(spark, folder, t.RELEASES, target)
+    t.remove_release(spark, folder, 1995)
+    refresh_silver(spark, folder, t.RELEASES, target)
+    by_month = SilverTable(spark, target).ledger().groupBy("SNAPSHOT_DATE")
+    return by_month.agg(
+        F.sum("rows").alias("n_rows"), F.sum("malformed").alias("n_malformed"), F.max("removed").alias("removed")
+    )
+
+
+def measure_silver_build(spark, sf):
+    """The measure family from its files: typed, with the file each row came from."""
+    folder = t.land_measures(spark, table(spark, sf, "orders"), scratch_path(spark, "bronze"))
+    target = scratch_path(spark, "silver")
+    write_silver(build_silver(spark, folder, MEASURES), target)
+    return read_silver(spark, target).select(
+        "CCN", "MEASURE_CODE", "SCORE", "FOOTNOTE", "START_DATE", "END_DATE", "SOURCE_FILE_NAME", "SNAPSHOT_DATE"
+    )
+
+
 # Queries named after the operator they run, whose name the function cannot take.
 _NAMES = {
     nearest_orders: "nearest_join",
@@ -662,6 +714,7 @@ _NAMES = {
     histogram_quantity: "histogram",
     tree_paths_walk: "tree_paths",
     manifest_state: "manifest_state_json",
+    rejected_records: "rejected_rows",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -678,6 +731,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         melt_lines, filter_lists, facility_labels, scope_filter, gold_roundtrip, manifest_diff,
         manifest_plan, cleanup_plan, mirror_actions, mirror_swaps, mirror_counts, tree_paths_walk, crawl_summary,
         bootstrap_plan, duplicate_keys, manifest_state, mirror_runs, mirror_incremental, incremental_stream,
-        late_release, restated_release,
+        late_release, restated_release, removed_release, rejected_records, release_ledger, measure_silver_build,
     )
 }

@@ -173,6 +173,67 @@ def land_releases(spark: SparkSession, orders: DataFrame, folder: str) -> str:
     return folder
 
 
+def _release_files(spark: SparkSession, folder: str, year: int):
+    """File system and paths of one release's files."""
+    pattern, fs = hadoop_path(spark, f"{folder}/orders_*_January{year}.csv")
+    return fs, [status.getPath() for status in fs.globStatus(pattern) or []]
+
+
+def remove_release(spark: SparkSession, folder: str, year: int) -> None:
+    fs, paths = _release_files(spark, folder, year)
+    for path in paths:
+        fs.delete(path, False)
+
+
+def rename_release(spark: SparkSession, folder: str, year: int) -> None:
+    """The same contents under other names of the family."""
+    fs, paths = _release_files(spark, folder, year)
+    for path in paths:
+        fs.rename(path, hadoop_path(spark, f"{folder}/{path.getName().replace('orders_', 'orders_9')}")[0])
+
+
+def land_misfits(spark: SparkSession, orders: DataFrame, folder: str) -> str:
+    """Release files in which some records lack their last field and some have one too many."""
+    key = F.col("o_orderkey")
+    last = F.when(key % 10 == 0, F.lit(None)).when(key % 10 == 1, F.lit("O,x y")).otherwise(F.col("o_orderstatus"))
+    record = F.concat_ws(",", F.lpad(F.col("o_custkey").cast("string"), 6, "0"), key.cast("string"), last)
+    release = F.concat(F.lit("January"), F.year("o_orderdate").cast("string"))
+    # The whole record is one column here, under a name that is the whole header.
+    lines = orders.select(record.alias("CMS Certification Number (CCN),Order Number,Order Status"), release.alias("release"))
+    staged = scratch_path(spark, "landing")
+    lines.write.partitionBy("release").options(header="true", sep=";").csv(staged)
+    return _named(spark, staged, folder, "orders_{number}_{release}.csv")
+
+
+def land_measures(spark: SparkSession, orders: DataFrame, folder: str) -> str:
+    """Orders as measure files, one a month."""
+    frame = orders.select(
+        F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("CMS Certification Number (CCN)"),
+        F.concat(F.lit("S_"), F.col("o_orderkey").cast("string")).alias("Measure Code"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("Not Available"))
+        .otherwise(F.concat(F.lit(" "), (F.col("o_custkey") % 100).cast("string"))).alias("Score"),
+        F.substring("o_orderpriority", 1, 1).alias("Footnote"),
+        F.date_format("o_orderdate", "MM/dd/yyyy").alias("Start Date"),
+        F.date_format(F.date_add("o_orderdate", 30), "MM/dd/yyyy").alias("End Date"),
+        F.date_format("o_orderdate", "MMMMyyyy").alias("release"),
+    )
+    staged = scratch_path(spark, "landing")
+    options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("inferSchema", "mode")}
+    frame.repartition("release").write.partitionBy("release").options(**options).csv(staged)
+    return _named(spark, staged, folder, "Skilled_Nursing_Facility_Quality_Reporting_Program_Provider_Data_{release}.csv")
+
+
+def _named(spark: SparkSession, staged: str, folder: str, pattern: str) -> str:
+    """Move written parts to ``folder`` under the names of a family."""
+    target, fs = hadoop_path(spark, folder)
+    fs.mkdirs(target)
+    found, _ = hadoop_path(spark, f"{staged}/release=*/part-*.csv")
+    for number, part in enumerate(fs.globStatus(found) or []):
+        release = part.getPath().getParent().getName().split("=")[1]
+        fs.rename(part.getPath(), hadoop_path(spark, f"{folder}/{pattern.format(number=number, release=release)}")[0])
+    return folder
+
+
 def tree_listing(spark: SparkSession, sf: str) -> DataFrame:
     """The tables as a listing of folders and files under one root."""
     folder, none = F.lit(FOLDER_MIME), F.lit(None)
