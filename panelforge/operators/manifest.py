@@ -42,14 +42,52 @@ def item_kind(mime: Column, can_download: Column) -> Column:
     )
 
 
+def folder_paths(folders: DataFrame, root_id: str) -> DataFrame:
+    """Path and depth of every folder (file_id, parent_id, name) below the root, as parent_id, base and depth.
+
+    Pointer doubling: each folder knows an ancestor and the path from there; joined with the ancestor's own
+    entry, it knows one twice as far, until that is the root. The rounds follow the logarithm of the depth.
+    Folders whose ancestor is not listed drop out; a round in which no folder newly reaches the root leaves
+    only circles.
+    """
+    state = folders.select(
+        "file_id", F.col("parent_id").alias("up"), child_path(F.lit(""), F.col("name"), True).alias("base"), F.lit(1).alias("depth")
+    )
+    state, _, size = freeze_measured(state)
+    at_root = F.col("up") == root_id
+    done, todo = state.where(at_root), state.where(~at_root)
+    reached = [done]
+    while not done.isEmpty():
+        above = state.select(
+            F.col("file_id").alias("up"), F.col("up").alias("next"), F.col("base").alias("before"), F.col("depth").alias("steps")
+        )
+        further = attach(todo, above, ["up"], how="inner", side_bytes=size).select(
+            "file_id",
+            F.col("next").alias("up"),
+            F.concat("before", "base").alias("base"),
+            (F.col("depth") + F.col("steps")).alias("depth"),
+        )
+        moved, rows, size = freeze_measured(further)
+        if not rows:
+            break
+        done, todo = moved.where(at_root), moved.where(~at_root)
+        reached.append(done)
+        # Whoever points to a folder that has reached the root reaches it next.
+        state, size = state.where(at_root).unionByName(moved), 2 * size
+    found = reached[0]
+    for more in reached[1:]:
+        found = found.unionByName(more)
+    root = folders.sparkSession.createDataFrame([(root_id, "", 0)], "parent_id string, base string, depth int")
+    return root.unionByName(found.select(F.col("file_id").alias("parent_id"), "base", "depth"))
+
+
 def tree_paths(listing: DataFrame, root_id: str) -> DataFrame:
     """Every item reachable from the root, with kind, depth and relative path.
 
-    The folders are walked one level per step, so the loop runs as often as the tree is
-    deep; items are then joined once to their parent folder. A folder holding a third of
-    all items is a hot key of ``attach``. Children of non-folders are unreachable.
+    Folders find their paths by ``folder_paths``; items are then joined once to their parent folder, in which
+    a folder holding a third of all items is a hot key of ``attach``. Children of non-folders are unreachable.
     """
-    # Written once: the walk and the last join read it several times.
+    # Written once: the folders and the last join read it.
     items = freeze(
         listing.withColumns(
             {
@@ -64,31 +102,16 @@ def tree_paths(listing: DataFrame, root_id: str) -> DataFrame:
             "file_id", "parent_id", "name"
         )
     )
-    again = folders.groupBy("file_id").count().where("count > 1").first()
+    again = items.where(F.col("file_id") != root_id).groupBy("file_id", "kind").count().where("count > 1").first()
     if again:
-        # Under two parents it would be walked twice, or round and round.
-        raise ValueError(f"folder {again['file_id']!r} is listed more than once")
-    spark = listing.sparkSession
-    level = spark.createDataFrame([(root_id, "", 0)], "parent_id string, base string, depth int")
-    parents, size, level_size = level, 0, 0
-    while True:
-        found = attach(
-            folders, level, ["parent_id"], how="inner", side_bytes=level_size
-        ).select(
-            F.col("file_id").alias("parent_id"),
-            child_path(F.col("base"), F.col("name"), True).alias("base"),
-            (F.col("depth") + 1).alias("depth"),
-        )
-        level, rows, level_size = freeze_measured(found)
-        if not rows:
-            break
-        parents, size = parents.unionByName(level), size + level_size
+        # Under two parents it would have two paths, of which the manifest can keep one only.
+        raise ValueError(f"{again['kind']} {again['file_id']!r} is listed more than once")
     folder = F.col("kind") == "folder"
     path = F.when(folder, child_path(F.col("base"), F.col("name"), True)).otherwise(
         child_path(F.col("base"), F.col("name"), False)
     )
     return (
-        attach(items, parents, ["parent_id"], how="inner", side_bytes=size)
+        attach(items, folder_paths(folders, root_id), ["parent_id"], how="inner")
         .withColumns({"relative_path": path, "depth": F.col("depth") + 1})
         .drop("base")
     )
@@ -209,21 +232,73 @@ def cleanup(changes: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-# Where the sources of copies wait that the same run overwrites.
+# Where one source of each circle of copies waits.
 STAGING = ".staging/"
 
 
-def actions(changes: DataFrame, new: DataFrame, staging: str = STAGING) -> DataFrame:
+def move_order(after: DataFrame) -> DataFrame:
+    """When to write each key whose present contents another step still has to read.
+
+    ``after`` (file_id, next) says that file_id has to be written after ``next`` has been read; nobody follows two, and
+    two follow nobody alike, so it is a set of chains and circles. Returns file_id, turn and first: a chain is written
+    from its free end, whose turn is 0. In a circle the item with the least id is ``first``: its source is put
+    aside, which makes a chain of the rest that ends in this item.
+
+    Pointer doubling: the rounds follow the logarithm of the longest chain or circle.
+    """
+    zero = F.lit(0).cast("long")
+    waiting = after.select(F.col("file_id").alias("_id"))
+    state = after.join(waiting, F.col("next") == F.col("_id"), "left").select(
+        "file_id",
+        F.col("next").alias("up"),
+        (zero + 1).alias("hops"),
+        F.struct(F.col("file_id").alias("id"), zero.alias("far")).alias("least"),
+        # A chain ends at an item that itself waits for nothing.
+        F.col("_id").isNull().alias("ended"),
+    )
+    state = freeze(state)
+    while True:
+        ahead = state.select(*(F.col(c).alias(f"_{c}") for c in state.columns))
+        smaller = F.col("_least.id") < F.col("least.id")
+        seen = F.struct(F.col("_least.id").alias("id"), (F.col("_least.far") + F.col("hops")).alias("far"))
+        state = freeze(
+            state.drop("new")
+            .join(ahead.drop("_new"), F.col("up") == F.col("_file_id"), "left")
+            .select(
+                "file_id",
+                F.coalesce("_up", "up").alias("up"),
+                (F.col("hops") + F.coalesce("_hops", zero)).alias("hops"),
+                F.when(smaller, seen).otherwise(F.col("least")).alias("least"),
+                (F.col("ended") | F.col("_ended")).alias("ended"),
+                # Chains still grow ends, or circles still learn their least id.
+                (~F.col("ended") & (F.col("_ended") | smaller)).alias("new"),
+            )
+        )
+        if state.where("new").isEmpty():
+            break
+    circles = state.where("NOT ended")
+    sizes = circles.groupBy(F.col("least.id").alias("least_id")).agg((F.max("least.far") + 1).alias("n"))
+    turned = circles.select("file_id", F.col("least.id").alias("least_id"), F.col("least.far").alias("far")).join(sizes, "least_id")
+    leader = F.col("far") == 0
+    return state.where("ended").select("file_id", F.col("hops").alias("turn"), F.lit(False).alias("first")).unionByName(
+        turned.select("file_id", F.when(leader, F.col("n") - 1).otherwise(F.col("far") - 1).alias("turn"), leader.alias("first"))
+    )
+
+
+def actions(changes: DataFrame, new: DataFrame | None = None, staging: str = STAGING) -> DataFrame:
     """What the mirror has to do, one row per step.
 
-    ``step`` orders the steps: folder markers, shallowest first, then new files, moved
-    files, files changed in place, deletions. ``counts_as`` names the counters a step adds
+    ``step`` orders the steps, ``depth`` those of one step: folder markers, shallowest first, then new files,
+    moved files, files changed in place, deletions. ``counts_as`` names the counters a step adds
     to; deleting the old key of a moved item adds to none.
 
-    The mirror is changed while the steps run. A copy whose source is also written in this
-    run (swapped, passed on or reused keys) would read what another step has put there, so
-    such sources are first staged (step 0) under ``staging`` and the file id, the copy reads
-    them there, and they are unstaged at the end (step 6).
+    The mirror is changed while the steps run. A key that a copy still has to read is written after that copy
+    (``move_order``), new files among the moved ones if need be. Of each circle of copies one source is
+    staged first (step 0) under ``staging`` and its file id, the copy reads it there as the last of the circle, and it
+    is unstaged at the end (step 6). An old key is deleted unless a current item owns it.
+
+    Who owns the old keys now is one join, of the items that left their key with the items that have one.
+    ``new`` is not needed any more, as ``changes`` names all current items.
     """
     folder = F.col("type") == "folder"
     kind = F.col("change_type")
@@ -244,52 +319,69 @@ def actions(changes: DataFrame, new: DataFrame, staging: str = STAGING) -> DataF
         F.when(kind == "moved", F.lit("moved")),
         F.when((step == 1) & (kind == "added"), F.lit("folder_markers_created")),
     )
-    depth = F.regexp_count("relative_path", F.lit("/"))
-    upserts = changes.where(step.isNotNull()).select(
-        "file_id",
-        step.alias("step"),
-        F.when(step == 1, depth).otherwise(F.lit(0)).alias("depth"),
-        verb.alias("action"),
-        F.when(verb == "copy", F.col("old_key")).alias("source_key"),
-        F.col("new_key").alias("s3_key"),
-        counters.alias("counts_as"),
+    depth = F.when(step == 1, F.regexp_count("relative_path", F.lit("/"))).otherwise(F.lit(0))
+    planned = freeze(
+        changes.select(
+            "file_id", kind.alias("change_type"), "old_key", "new_key", step.alias("step"), depth.alias("depth"),
+            F.when(step.isNotNull(), verb).alias("action"), counters.alias("counts_as"),
+        )
+    )
+    left = planned.where(F.col("change_type").isin("removed", "moved"))
+    owners = planned.where("new_key IS NOT NULL").select(
+        F.col("file_id").alias("owner"), F.col("new_key").alias("old_key"), F.col("step").alias("owner_step")
     )
-    deletions = cleanup(changes, new).select(
+    owned = freeze(
+        left.select("file_id", "old_key", "action").join(owners, "old_key").select("file_id", "old_key", "action", "owner", "owner_step")
+    )
+    none = F.lit(None).cast("string")
+    deletions = left.join(owned.select("file_id"), "file_id", "left_anti").select(
         "file_id",
         F.lit(5).alias("step"),
         F.lit(0).alias("depth"),
         F.lit("delete").alias("action"),
-        F.lit(None).cast("string").alias("source_key"),
-        "s3_key",
-        F.when(F.col("reason") == "removed", F.lit("deleted")).otherwise(F.lit("")).alias("counts_as"),
-    )
-    written = upserts.select("s3_key").distinct()
-    waiting = (
-        upserts.where(F.col("action") == "copy")
-        .join(written.withColumnRenamed("s3_key", "source_key"), "source_key", "left_semi")
-        .select("file_id", "source_key", F.concat(F.lit(staging), "file_id").alias("staged"))
+        none.alias("source_key"),
+        F.col("old_key").alias("s3_key"),
+        F.when(F.col("change_type") == "removed", F.lit("deleted")).otherwise(F.lit("")).alias("counts_as"),
     )
-    moved = (
-        upserts.join(waiting.select("file_id", "staged"), "file_id", "left")
-        .withColumn("source_key", F.coalesce("staged", "source_key"))
-        .select(upserts.columns)
+    copied = F.when(F.col("action") == "copy", F.col("old_key"))
+    upserts = planned.where("step IS NOT NULL")
+    waits = owned.where("action = 'copy' AND owner_step IN (2, 3)")
+    shape = ["file_id", "step", "depth", "action", "source_key", "s3_key", "counts_as"]
+    if waits.isEmpty():
+        return upserts.select(
+            "file_id", "step", "depth", "action", copied.alias("source_key"), F.col("new_key").alias("s3_key"), "counts_as"
+        ).unionByName(deletions)
+
+    turns = freeze(move_order(waits.select(F.col("owner").alias("file_id"), F.col("file_id").alias("next"))))
+    staged = F.concat(F.lit(staging), "file_id")
+    first = F.coalesce("first", F.lit(False))
+    steps = upserts.join(turns, "file_id", "left").select(
+        "file_id",
+        F.when(F.col("turn").isNotNull(), 3).otherwise(F.col("step")).alias("step"),
+        F.coalesce(F.col("turn").cast("int"), "depth").alias("depth"),
+        "action",
+        F.when(first, staged).otherwise(copied).alias("source_key"),
+        F.col("new_key").alias("s3_key"),
+        "counts_as",
     )
+    aside = planned.join(turns.where("first").select("file_id"), "file_id", "left_semi")
 
-    def extra(step: int, action: str, source) -> DataFrame:
-        return waiting.select(
+    def extra(step: int, action: str, source: Column) -> DataFrame:
+        return aside.select(
             "file_id",
             F.lit(step).alias("step"),
             F.lit(0).alias("depth"),
             F.lit(action).alias("action"),
             source.alias("source_key"),
-            F.col("staged").alias("s3_key"),
+            staged.alias("s3_key"),
             F.lit("").alias("counts_as"),
         )
 
     return (
-        moved.unionByName(deletions)
-        .unionByName(extra(0, "stage", F.col("source_key")))
-        .unionByName(extra(6, "unstage", F.lit(None).cast("string")))
+        steps.unionByName(deletions)
+        .unionByName(extra(0, "stage", F.col("old_key")))
+        .unionByName(extra(6, "unstage", none))
+        .select(shape)
     )
 
 

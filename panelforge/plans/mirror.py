@@ -6,12 +6,14 @@ raising, in which case no state advances and the next run sees the same changes
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelforge.functions.names import normalize_prefix
 from panelforge.operators.manifest import (
     MANIFEST,
     actions,
@@ -96,7 +98,9 @@ def mirror(
         store.commit(root_id, next_token, manifest)
         return MirrorRun("no_applicable_changes", records, crawl, plan)
 
-    steps = freeze(actions(changes, manifest))
+    # Two mirrors of one bucket, or two runs, do not meet in one staging place.
+    run_id = hashlib.sha256(next_token.encode()).hexdigest()[:12]
+    steps = freeze(actions(changes, manifest, f"{normalize_prefix(prefix)}.staging-{run_id}/"))
     apply(steps)
     store.commit(root_id, next_token, manifest)
     return MirrorRun("incremental", records, crawl, plan, steps, run_counts(steps))

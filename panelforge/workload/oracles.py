@@ -161,7 +161,7 @@ items AS (
 
 # Customer places: the key goes from one order to the next, so most moves read what others write.
 SWAPS = """
-old_m AS (
+RECURSIVE old_m AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS file_id, 'mirror/' || o_custkey || '/' ||
     row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k
   FROM orders WHERE o_orderdate < TIMESTAMP '2000-08-01'
@@ -171,16 +171,29 @@ old_m AS (
   FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01'
 ), moves AS (
   SELECT file_id, o.k AS old_key, n.k AS new_key FROM old_m o FULL JOIN new_m n USING (file_id)
+), after AS (
+  SELECT w.file_id AS id, m.file_id AS nxt FROM moves m JOIN moves w ON w.new_key = m.old_key
+  WHERE m.old_key <> m.new_key AND w.old_key IS DISTINCT FROM w.new_key
+), chains AS (
+  SELECT id, nxt, 1 AS turn FROM after WHERE nxt NOT IN (SELECT id FROM after)
+  UNION ALL SELECT a.id, a.nxt, turn + 1 FROM after a JOIN chains c ON a.nxt = c.id
+), walks AS (
+  SELECT id, id AS met, 0 AS far FROM after WHERE id NOT IN (SELECT id FROM chains)
+  UNION ALL SELECT w.id, a.nxt, far + 1 FROM walks w JOIN after a ON a.id = w.met WHERE a.nxt <> w.id
+), circles AS (
+  SELECT id, arg_min(far, met) AS far, count(*) AS n FROM walks GROUP BY id
+), turns AS (
+  SELECT id, turn, FALSE AS aside FROM chains
+  UNION ALL SELECT id, CASE far WHEN 0 THEN n ELSE far END - 1, far = 0 FROM circles
 ), waiting AS (
-  SELECT file_id, old_key FROM moves
-  WHERE old_key <> new_key AND old_key IN (
-    SELECT new_key FROM moves WHERE new_key IS NOT NULL AND old_key IS DISTINCT FROM new_key)
+  SELECT file_id, old_key FROM moves JOIN turns ON id = file_id WHERE aside
 ), steps AS (
-  SELECT m.file_id, CAST(CASE WHEN m.old_key IS NULL THEN 2 ELSE 3 END AS INTEGER) AS step, 0 AS depth,
+  SELECT m.file_id, CAST(CASE WHEN m.old_key IS NULL AND t.id IS NULL THEN 2 ELSE 3 END AS INTEGER) AS step,
+    CAST(coalesce(t.turn, 0) AS INTEGER) AS depth,
     CASE WHEN m.old_key IS NULL THEN 'download' ELSE 'copy' END AS action,
     CASE WHEN w.file_id IS NOT NULL THEN '.staging/' || m.file_id ELSE m.old_key END AS source_key,
     m.new_key AS s3_key, CASE WHEN m.old_key IS NULL THEN 'downloaded' ELSE 'moved' END AS counts_as
-  FROM moves m LEFT JOIN waiting w ON m.file_id = w.file_id
+  FROM moves m LEFT JOIN waiting w ON m.file_id = w.file_id LEFT JOIN turns t ON t.id = m.file_id
   WHERE m.new_key IS NOT NULL AND m.old_key IS DISTINCT FROM m.new_key
   UNION ALL
   SELECT file_id, 5, 0, 'delete', NULL, old_key, CASE WHEN new_key IS NULL THEN 'deleted' ELSE '' END
