@@ -17,18 +17,20 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.words import give_back, rolling, token_hashes
+from panelforge.llm.words import blocks, give_back, rolling, token_hashes
 
 LEAST = 4
 COVERAGE = 0.5
 BLOCK_CHARS = 32 << 20
 
 _DOCS = 256
+# Bytes of text that are searched at once.
+_SLICE = 1 << 20
 _BITS = 22
 
 
@@ -176,15 +178,30 @@ def _regions(codes: np.ndarray, at: np.ndarray, k: int) -> list:
 
 
 def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple]]:
-    """The items in blocks of bounded size, by a hash of their text."""
-    rows = items.select("item_id", "text").where("text IS NOT NULL")
-    total, longest = rows.agg(F.sum(F.length("text")), F.max(F.length("text"))).first()
+    """The distinct item texts and their keys, in blocks of bounded size by a hash of the text."""
+    rows = items.where("text IS NOT NULL").select(item_key().alias("key"), "text").dropDuplicates(["key"])
+    total = rows.agg(F.sum(F.length("text"))).first()[0]
     n = max(1, math.ceil(2 * (total or 0) / block_chars))
     for k in range(n):
         part = rows.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k) if n > 1 else rows
         yield [(r[0], r[1]) for r in part.collect()]
 
 
+def item_key() -> Column:
+    return F.sha2("text", 256)
+
+
+def _slices(batches: Iterator[pa.RecordBatch], limit: int = _SLICE) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Batches cut so that their texts have at most ``limit`` bytes together, or are one text, with the texts."""
+    for batch in batches:
+        texts = batch.column(batch.schema.get_field_index("text"))
+        lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        for lo, hi in blocks(np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]), limit):
+            for at in range(lo, hi, _DOCS):
+                part = batch.slice(at, min(_DOCS, hi - at))
+                yield part, texts.slice(at, part.num_rows).to_pylist()
+
+
 def find_items(
     docs: DataFrame,
     items: DataFrame,
@@ -198,51 +215,50 @@ def find_items(
     tokens: doc_id, item_id, n_tokens (of the item), covered, tiles, longest, coverage.
 
     Tokens are lower-cased runs of letters and digits. Null texts and texts without tokens match
-    nothing, nor do such items; items shorter than ``least`` have to occur whole. Repeated documents and
-    repeated items are reported each. Empty tables give an empty result. Other columns are
-    not looked at.
+    nothing, nor do such items; items shorter than ``least`` have to occur whole. Very long texts are searched whole,
+    each alone. Repeated documents and repeated items are reported each; an item text is sought once however
+    many items have it. Empty tables give an empty result. Other columns are not looked at.
     """
     spark = docs.sparkSession
-    kind = items.schema["item_id"].dataType.simpleString()
-    schema = f"doc_id long, item_id {kind}, n_tokens int, covered int, tiles int, longest int, coverage double"
+    schema = "doc_id long, key string, n_tokens int, covered int, tiles int, longest int, coverage double"
     out = spark.createDataFrame([], schema)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     for block in _blocks(items, block_chars):
         if block:
-            out = out.unionByName(rows.mapInPandas(_finder(spark, block, least, coverage), schema))
-    return out
+            out = out.unionByName(rows.mapInArrow(_finder(spark, block, least, coverage), schema))
+    named = items.where("text IS NOT NULL").select(item_key().alias("key"), "item_id")
+    return out.join(named, "key").select("doc_id", "item_id", "n_tokens", "covered", "tiles", "longest", "coverage")
 
 
 def _finder(spark, block, least, coverage):
     index = spark.sparkContext.broadcast(_Index(block, least))
-
-    def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            ids, texts, known = frame["doc_id"].tolist(), frame["text"].tolist(), index.value
-            out = []
-            for lo in range(0, len(ids), _DOCS):
-                for r, i, covered, tiles, longest in known.found(texts[lo : lo + _DOCS], coverage, least):
-                    size = len(known.tokens[i])
-                    doc_id = ids[lo + r]
-                    out.append((None if pd.isna(doc_id) else int(doc_id), known.ids[i], size, covered, tiles, longest, covered / size))
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "n_tokens", "covered", "tiles", "longest", "coverage"])
+    names = ["doc_id", "key", "n_tokens", "covered", "tiles", "longest", "coverage"]
+    kinds = [pa.int64(), pa.string(), *[pa.int32()] * 4, pa.float64()]
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = index.value
+        for part, texts in _slices(batches):
+            ids, out = part.column(0).to_pylist(), []
+            for r, i, covered, tiles, longest in known.found(texts, coverage, least):
+                size = len(known.tokens[i])
+                out.append((ids[r], known.ids[i], size, covered, tiles, longest, covered / size))
+            columns = list(zip(*out)) if out else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        give_back()
 
     return find
 
 
-def _holds(index, coverage, least):
-    @F.pandas_udf("boolean")
-    def holds(texts: pd.Series) -> pd.Series:
-        values = texts.tolist()
-        out = np.zeros(len(values), bool)
-        for lo in range(0, len(values), _DOCS):
-            for r, *_ in index.value.found(values[lo : lo + _DOCS], coverage, least):
-                out[lo + r] = True
-        del values
+def _without(index, coverage, least):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in _slices(batches):
+            clean = np.ones(len(texts), bool)
+            for r, *_ in index.value.found(texts, coverage, least):
+                clean[r] = False
+            yield part.filter(pa.array(clean))
         give_back()
-        return pd.Series(out)
 
-    return holds
+    return keep
 
 
 def without_items(
@@ -256,8 +272,7 @@ def without_items(
     spark = docs.sparkSession
     clean = docs
     for block in _blocks(items, block_chars):
-        if not block:
-            continue
-        holds = _holds(spark.sparkContext.broadcast(_Index(block, least)), coverage, least)
-        clean = clean.where(~holds("text"))
+        if block:
+            index = spark.sparkContext.broadcast(_Index(block, least))
+            clean = clean.mapInArrow(_without(index, coverage, least), docs.schema)
     return clean

@@ -82,8 +82,6 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Strings that spell a special token are ordinary text.
-        self.tokenizer.encode_special_tokens = True
         self.cores = _Kept(self._ids, _CACHED_CORES)
         self.parts = _Kept(self._part, _CACHED)
 
@@ -265,7 +263,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) ->
     One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. Pieces of one
     sequence follow each other without gaps.
 
-    Null and empty texts are documents of the end id alone. Only a document longer than the
+    Null and empty texts are documents of the end id alone. Strings in a text that spell a special token get its
+    id, as by the tokenizer's plain call. Only a document longer than the
     capacity is cut. Repeated rows and rows without doc_id are packed like any other. An
     empty table gives no rows. Other columns are not looked at.
     """

@@ -294,12 +294,11 @@ def plain_ids(texts):
     from tokenizers import Tokenizer
 
     encoder = Tokenizer.from_file(packing.vocabulary_path())
-    encoder.encode_special_tokens = True
     return [e.ids for e in encoder.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 def test_word_ids_equal_the_tokenizer():
-    texts = ["Hello, World!!", "a\tb\n\nc", "ΑΣ ΟΔΟΣ.", "<|endoftext|> hi", "it's I'LL 'S can't", "ÀÉ,*** straße%%%", "x́y ﬁ İ Å",
+    texts = ["Hello, World!!", "a\tb\n\nc", "ΑΣ ΟΔΟΣ.", "<|endoftext|> hi", "hello <|endoftext|> world", "ab<|startoftext|>c!<|ENDOFTEXT|>", "it's I'LL 'S can't", "ÀÉ,*** straße%%%", "x́y ﬁ İ Å",
              "日本語 1234 5.6", "", "   ", "\x1c\x85a b", "😀", "w" * 500, "it 's", "a'", "''s"]
     small = packing._Kept(str.encode, 2)
     assert [small[x] for x in "abcabcabc"] == [x.encode() for x in "abcabcabc"] and len(small) <= 2
