@@ -87,6 +87,58 @@ def turnover_summary(
     return row.withColumn("MODE", mode)
 
 
+# Scopes of the cube: everything, one state, one facility of a state.
+SCOPES = ("all", "state", "facility")
+
+
+def _scope_name() -> Column:
+    level = F.grouping_id()
+    return F.when(level == 3, F.lit(SCOPES[0])).when(level == 1, F.lit(SCOPES[1])).otherwise(F.lit(SCOPES[2]))
+
+
+def scope_cube(staffing: DataFrame, ranking: DataFrame, turnover: DataFrame) -> DataFrame:
+    """The headline numbers of every scope at once: of all facilities, each state, and each facility.
+
+    One row a scope: SCOPE, STATE and CCN, and the numbers of ``overview``. The three tables are brought to one long
+    form and aggregated once by GROUPING SETS over (), (STATE) and (STATE, CCN). Partial sums are taken before the
+    exchange, so a state with a third of all rows sends one row a task. Rows without a state belong to no state
+    scope; the latest month is that of all.
+    """
+    paired = F.col(OCCUPANCY).isNotNull() & F.col(STAFFING).isNotNull()
+    number, day = F.lit(None).cast("double"), F.lit(None).cast("date")
+
+    def shaped(df: DataFrame, **columns: Column) -> DataFrame:
+        empty = {"OCC": number, "HOURS": number, "PAIRED_OCC": number, "PAIRED_HOURS": number, "LOW": number,
+                 "TOTAL": number, "RN": number, "MONTH_SEEN": day, "TURNOVER_MONTH": day}
+        return df.select("STATE", "CCN", *(c.alias(n) for n, c in {**empty, **columns}.items()))
+
+    rows = (
+        shaped(
+            staffing, OCC=F.col(OCCUPANCY), HOURS=F.col(STAFFING), PAIRED_OCC=F.when(paired, F.col(OCCUPANCY)),
+            PAIRED_HOURS=F.when(paired, F.col(STAFFING)), MONTH_SEEN=F.col("MONTH"),
+        )
+        .unionByName(shaped(ranking, LOW=F.col(STAFFING)))
+        .unionByName(shaped(turnover, TOTAL=F.col(TOTAL_TURNOVER), RN=F.col(RN_TURNOVER), TURNOVER_MONTH=F.col("MONTH")))
+    )
+    state, ccn = F.col("STATE"), F.col("CCN")
+    # A scope has as many different months as the calendar, so this set is small.
+    months = F.size(F.collect_set("TURNOVER_MONTH"))
+    cube = rows.groupingSets([[], [state], [state, ccn]], state, ccn).agg(
+        _scope_name().alias("SCOPE"),
+        F.avg("OCC").alias("AVG_OCCUPANCY"),
+        F.avg("HOURS").alias("AVG_STAFFING"),
+        F.avg("PAIRED_OCC").alias("PAIRED_OCCUPANCY"),
+        F.avg("PAIRED_HOURS").alias("PAIRED_STAFFING"),
+        F.min("LOW").alias("LOWEST_STAFFING"),
+        F.avg("TOTAL").alias("AVG_TURNOVER"),
+        F.avg("RN").alias("AVG_RN_TURNOVER"),
+        months.cast("long").alias("MONTHS"),
+        F.max("MONTH_SEEN").alias("LATEST_MONTH"),
+    )
+    mode = F.when(F.col("MONTHS") >= 2, F.lit("trend")).otherwise(F.lit("snapshot"))
+    return cube.where((F.col("SCOPE") == SCOPES[0]) | F.col("STATE").isNotNull()).withColumn("MODE", mode)
+
+
 def state_heatmap(staffing: DataFrame, state: str | None = None, ccn: str | None = None) -> DataFrame:
     """State means of occupancy and staffing with z-scores over the states shown."""
     means = group_means(

@@ -212,24 +212,23 @@ class SilverTable:
     def exists(self) -> bool:
         return path_exists(self.spark, f"{self.path}/_versions")
 
-    def apply(self, listed: DataFrame, fresh: DataFrame | None, pending: DataFrame, schema: T.StructType) -> Version:
+    def apply(
+        self, ledger: DataFrame, fresh: DataFrame | None, pending: DataFrame, months: Sequence[str], schema: T.StructType
+    ) -> Version:
         """Commit one step of a refresh.
 
-        ``pending`` names the files (file_name, SNAPSHOT_DATE, removed) whose rows give way, ``fresh`` holds the rows of those
-        that were read, and ``listed`` is the ledger afterwards. Months that none of these files lies in keep
-        their folders; in the others, rows of other files are carried over.
+        ``pending`` names the files (file_name) of ``months`` whose rows give way, ``fresh`` holds the rows of those
+        that were read, and ``ledger`` is the ledger afterwards. All other months keep their folders; in these,
+        rows of other files are carried over.
         """
         before = self.version()
-        touched = sorted(str(r[0]) for r in pending.select(SNAPSHOT_DATE).distinct().collect())
         rows = [fresh] if fresh is not None else []
-        old = [m for m in touched if before and m in before.months]
+        old = [m for m in months if before and m in before.months]
         if old:
             there = Version(before.number, before.schema, {m: before.months[m] for m in old}, None)
-            carried = self._rows(there, with_raw=True).join(
-                F.broadcast(pending.select(F.col("file_name").alias(SOURCE_FILE))), SOURCE_FILE, "left_anti"
-            )
-            rows.append(carried)
-        return self.commit(before, union_drifting(rows) if rows else None, schema, touched, listed)
+            gone = F.broadcast(pending.select(F.col("file_name").alias(SOURCE_FILE)))
+            rows.append(self._rows(there, with_raw=True).join(gone, SOURCE_FILE, "left_anti"))
+        return self.commit(before, union_drifting(rows) if rows else None, schema, months, ledger)
 
 
 def reconciled(listed: DataFrame, ledger: DataFrame) -> DataFrame:

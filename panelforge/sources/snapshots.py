@@ -72,15 +72,20 @@ class SnapshotFile:
     month: datetime.date
 
 
+def known_files(rows: Sequence) -> list[SnapshotFile]:
+    """Files in path order. A name without a month is an error."""
+    for row in rows:
+        if row[SNAPSHOT_DATE] is None:
+            raise ValueError(f"no month can be read from the file name {row['file_name']!r}")
+    return [SnapshotFile(r["path"], r["file_name"], r[SNAPSHOT_DATE]) for r in sorted(rows, key=lambda r: r["path"])]
+
+
 def resolve(files: DataFrame, family: SnapshotFamily, where: str) -> list[SnapshotFile]:
     """The file list itself, in path order. No file, or a name without a month, is an error."""
-    rows = files.select("path", "file_name", SNAPSHOT_DATE).orderBy("path").collect()
+    rows = files.select("path", "file_name", SNAPSHOT_DATE).collect()
     if not rows:
         raise FileNotFoundError(f"no {family.label} matching {family.file_pattern} in {where}")
-    for row in rows:
-        if row[SNAPSHOT_DATE] is None:
-            raise ValueError(f"no month can be read from the file name {row['file_name']!r}")
-    return [SnapshotFile(*row) for row in rows]
+    return known_files(rows)
 
 
 def discover(spark: SparkSession, folder: str, family: SnapshotFamily) -> list[SnapshotFile]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,13 +12,13 @@ from panelforge.functions.dictionaries import SNAPSHOT_DATE, SnapshotFamily
 from panelforge.operators.rank import rank_rows
 from panelforge.runtime import freeze
 from panelforge.schemas import columns
-from panelforge.sources.silver import SilverTable, frozen_plan
+from panelforge.sources.silver import LEDGER, SilverTable, frozen_plan
 from panelforge.sources.snapshots import (
     csv_glob,
     headers,
+    known_files,
     list_snapshots,
     matching,
-    resolve,
     silver,
     silver_schema,
     with_month,
@@ -59,9 +61,8 @@ def snapshot_stream(
 
     def land(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
-        found = freeze(with_month(batch).withColumn("state", F.lit("new")))
-        if not found.isEmpty():
-            _land(SilverTable(session, target), found, family, folder)
+        if not batch.isEmpty():
+            _land(SilverTable(session, target), with_month(batch).withColumn("state", F.lit("new")), family)
 
     return (
         matching(files, family)
@@ -72,22 +73,29 @@ def snapshot_stream(
     )
 
 
-def _land(table: SilverTable, batch: DataFrame, family: SnapshotFamily, where: str) -> int:
-    """Read the files of ``batch`` (as ``reconciled``, written) anew, drop the rows of removed ones, and commit."""
+def _land(table: SilverTable, batch: DataFrame, family: SnapshotFamily) -> int:
+    """Read the files of ``batch`` (as ``reconciled``) anew, drop the rows of removed ones, and commit.
+
+    The names of one batch, bounded by its caller, are known to the driver; all else stays in tables.
+    """
     spark = table.spark
-    present = batch.where("state <> 'removed'")
-    found = [] if present.isEmpty() else resolve(present, family, where)
+    named = batch.select("file_name", "path", SNAPSHOT_DATE, "modificationTime", "length", "state").collect()
+    found = known_files([r for r in named if r["state"] != "removed"])
     lines = headers(spark, [f.path for f in found])
     rows = silver(spark, found, family, lines, with_raw=True) if found else None
-    read = spark.createDataFrame([(f.name, list(h)) for f, h in zip(found, lines)], "file_name string, header array<string>")
-    removed = F.col("state") == "removed"
-    updates = batch.drop("header").join(F.broadcast(read), "file_name", "left").select(
-        "file_name", "path", SNAPSHOT_DATE, "modificationTime", "length", F.current_timestamp().alias("readAt"),
-        *(F.lit(None).cast("long").alias(c) for c in ("rows", "malformed")), removed.alias("removed"), "header",
+    header = {f.name: list(h) for f, h in zip(found, lines)}
+    now = datetime.datetime.now(datetime.timezone.utc)
+    updates = spark.createDataFrame(
+        [
+            (r["file_name"], r["path"], r[SNAPSHOT_DATE], r["modificationTime"], r["length"], now, None, None,
+             r["state"] == "removed", header.get(r["file_name"]))
+            for r in named
+        ],
+        LEDGER,
     )
-    others = table.ledger().join(F.broadcast(batch.select("file_name")), "file_name", "left_anti")
-    ledger = freeze(others.select(*updates.columns).unionByName(updates))
-    table.apply(ledger, rows, batch, silver_schema(_layouts(ledger), family))
+    others = table.ledger().join(F.broadcast(updates.select("file_name")), "file_name", "left_anti")
+    ledger = freeze(others.select(*LEDGER.names).unionByName(updates))
+    table.apply(ledger, rows, updates, sorted({str(r[SNAPSHOT_DATE]) for r in named}), silver_schema(_layouts(ledger), family))
     return len(found)
 
 
@@ -127,5 +135,5 @@ def refresh_silver(
         step = pending
         if total > files_per_batch:
             step = pending.where(F.col("_rank").between(done + 1, done + files_per_batch)).drop("_rank")
-        read += _land(table, freeze(step), family, folder)
+        read += _land(table, step, family)
     return read

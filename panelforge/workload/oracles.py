@@ -331,6 +331,17 @@ SELECT {r6("o")} AS AVG_OCCUPANCY, {r6("h")} AS AVG_STAFFING, {r6("low")} AS LOW
   {r6("po")} AS PAIRED_OCCUPANCY, {r6("ph")} AS PAIRED_STAFFING, months AS MONTHS,
   CASE WHEN months >= 2 THEN 'trend' ELSE 'snapshot' END AS MODE, {r6("rn")} AS AVG_RN_TURNOVER
 FROM a, b""",
+    "kpi_cube": f"""WITH {PANEL}, a AS (
+  SELECT CASE WHEN GROUPING(STATE) = 1 THEN 'all' WHEN GROUPING(CCN) = 1 THEN 'state' ELSE 'facility' END AS SCOPE, STATE, CCN,
+    avg(OCC) AS o, avg(HOURS) AS h, avg(TOTAL_TURNOVER) AS t, avg(RN_TURNOVER) AS rn, count(DISTINCT MONTH) AS months,
+    avg(OCC) FILTER (HOURS IS NOT NULL) AS po, avg(HOURS) FILTER (OCC IS NOT NULL) AS ph,
+    min(HOURS) FILTER (SNAPSHOT_DATE = (SELECT d FROM latest)) AS low
+  FROM recent GROUP BY GROUPING SETS ((), (STATE), (STATE, CCN))
+)
+SELECT SCOPE, STATE, CCN, {r6("o")} AS AVG_OCCUPANCY, {r6("h")} AS AVG_STAFFING, {r6("low")} AS LOWEST_STAFFING,
+  {r6("t")} AS AVG_TURNOVER, {r6("rn")} AS AVG_RN_TURNOVER, {r6("po")} AS PAIRED_OCCUPANCY, {r6("ph")} AS PAIRED_STAFFING,
+  months AS MONTHS, CASE WHEN months >= 2 THEN 'trend' ELSE 'snapshot' END AS MODE
+FROM a WHERE SCOPE = 'all' OR STATE IS NOT NULL""",
     "state_zscore": f"""WITH {PANEL}, means AS (
   SELECT STATE, avg(OCC) AS o, avg(HOURS) AS h FROM recent WHERE STATE IS NOT NULL GROUP BY STATE
 ), kept AS (SELECT * FROM means WHERE o IS NOT NULL OR h IS NOT NULL

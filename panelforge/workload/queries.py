@@ -348,6 +348,19 @@ def kpis(spark, sf):
     )
 
 
+def kpi_cube(spark, sf):
+    """The headline numbers of all facilities, every state and every facility in one aggregation."""
+    latest = _latest(spark, sf)
+    recent = lookback(facility_panel(spark, sf, lookback_start(latest)), latest)
+    lowest = metrics.staffed_facilities(facility_panel(spark, sf, latest), latest)
+    cube = dashboard.scope_cube(metrics.staffing_vs_occupancy(recent), lowest, recent)
+    return rounded(
+        cube.drop("LATEST_MONTH"),
+        "AVG_OCCUPANCY", "AVG_STAFFING", "PAIRED_OCCUPANCY", "PAIRED_STAFFING", "LOWEST_STAFFING",
+        "AVG_TURNOVER", "AVG_RN_TURNOVER",
+    )
+
+
 def state_zscore(spark, sf):
     table_ = dashboard.state_heatmap(metrics.staffing_vs_occupancy(_recent(spark, sf)))
     return rounded(table_, OCCUPANCY, "STAFFING_HOURS", f"{OCCUPANCY}_Z", "STAFFING_HOURS_Z")
@@ -723,7 +736,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         scan_parquet, csv_roundtrip_clean, snapshot_discovery, name_month_parse, clean_text_yn,
         document_text_clean, clean_numeric, clean_date, dictionary_typing, drift_union,
         contract_report, lookback_panel, safe_ratio, occupancy_trend, staffing_vs_occupancy,
-        low_staffing_ranking, rank_national_state, latest_per_key, nearest_orders, group_corr,
+        low_staffing_ranking, rank_national_state, kpi_cube, latest_per_key, nearest_orders, group_corr,
         global_corr, readmission_correlation, state_month_avg, kpis, state_zscore, linear_fit_lines,
         linear_fit_grid, staffing_points, staffing_trend, topn_lowest, topn_lowest_in_state,
         topn_customers, readmission_points, readmission_trend, strength_label, state_strengths,
