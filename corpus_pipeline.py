@@ -20,8 +20,21 @@ from panelforge.llm.tables import table
 from panelforge.runtime import freeze
 
 
+# Rows handed to a Python task at once. Texts are long, and both sides of the hand-over keep a batch in memory.
+BATCH_ROWS = 500
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size; a smaller one set by the user stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name, "10000"))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or in none of the learned languages, go."""
+    _small_batches(spark)
     return in_known_language(docs)
 
 
@@ -30,6 +43,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars`` follows the text where the text changed.
     """
+    _small_batches(spark)
     changed = remove_repeated_blocks(docs)
     row, removed = F.col("row"), F.col("n_removed") > 0
     if "n_chars" in docs.columns:
@@ -42,16 +56,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
+    _small_batches(spark)
     return one_per_group(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    _small_batches(spark)
     return without_items(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens: one row per piece of a document."""
+    _small_batches(spark)
     return pack(docs)
 
 
