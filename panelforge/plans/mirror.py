@@ -88,19 +88,19 @@ def mirror(
         manifest, crawl = None, None
         if state.schema_version < SCHEMA_VERSION:
             manifest, crawl = _walk(listing(), root_id, prefix)
-        store.commit(root_id, next_token, manifest)
+        store.commit(root_id, next_token, manifest, after=state)
         return MirrorRun("no_changes", crawl=crawl)
 
     manifest, crawl = _walk(listing(), root_id, prefix)
     changes = freeze(diff(state.manifest, manifest, changed_ids(feed)))
     plan = plan_counts(changes)
     if changes.where(F.col("change_type").isin(*APPLICABLE)).isEmpty():
-        store.commit(root_id, next_token, manifest)
+        store.commit(root_id, next_token, manifest, after=state)
         return MirrorRun("no_applicable_changes", records, crawl, plan)
 
     # Two mirrors of one bucket, or two runs, do not meet in one staging place.
     run_id = hashlib.sha256(next_token.encode()).hexdigest()[:12]
     steps = freeze(actions(changes, manifest, f"{normalize_prefix(prefix)}.staging-{run_id}/"))
     apply(steps)
-    store.commit(root_id, next_token, manifest)
+    store.commit(root_id, next_token, manifest, after=state)
     return MirrorRun("incremental", records, crawl, plan, steps, run_counts(steps))
