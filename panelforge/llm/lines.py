@@ -257,6 +257,8 @@ def _remove(docs: DataFrame, drops: DataFrame, kept: Callable[..., tuple[str, in
         give_back()
         return pd.DataFrame(out, columns=["text", "n_removed"])
 
+    # A caller's filter on the result would otherwise be pushed below it and cut every text a second time.
+    cut = cut.asNondeterministic()
     rows = docs.select(
         F.struct("*").alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
