@@ -1,9 +1,14 @@
 """The main text of web pages by tree scoring.
 
 Every paragraph of the page earns points for its length and its commas, less for the share of its
-text that is links. It passes them to the elements around it, whole to the nearest and in smaller
-parts to those further out. The element with most points holds the article; siblings with
-enough points belong to it. What is left of the page is not read.
+text that is links. It passes them to the elements around it, whole to the nearest and halved at each
+further container. The element with most points holds the article; siblings with enough points belong
+to it. What is left of the page is not read.
+
+Names (class, id, role) say what is no article, and a form is none, but the points decide whether that is
+believed: a word is, if all that it names on the page holds a minor share of the page's points, apart from
+single elements that hold the major share, which are spared; or if elements that are named as the
+article hold enough points outside of all that it names.
 
 Scale. Pages are mapped one by one where they are read; work is linear in the page and no
 recursion depends on its depth.
@@ -30,11 +35,11 @@ _BLOCK = set(
 # Elements that hold several paragraphs, and so may be the article.
 _CONTAINER = set("#page article body center div fieldset figure html main section table tbody td tr blockquote".split())
 _NEVER = set(
-    "head script style noscript template nav header footer aside form button select option textarea input label "
+    "head script style noscript template nav header footer aside button select option textarea input label "
     "iframe object embed svg canvas math audio video map menu dialog datalist".split()
 )
 _KEPT_ROOTS = {"#page", "html", "body", "main"}
-# Words of class, id or role that name what is not the article.
+# Words of class, id or role that name what is not the article: a whole token, or its first or last part.
 _NOT_TEXT = set(
     "ad ads adbox adslot advert adverts advertisement advertising banner sponsor sponsored promo promotion promoted "
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription "
@@ -43,23 +48,50 @@ _NOT_TEXT = set(
     "share sharing social related recommended recommendations login signup search complementary contentinfo hidden".split()
 )
 _TEXT = set("article content entry main post story text body".split())
+# Parts that make a token a statement about the layout: has-sidebar, with-comments, share-enabled.
+_LAYOUT = set("has no with without enabled disabled layout is not".split())
+_COMMENTS = set("comment comments commentlist disqus reply replies respond".split())
+# A word is believed up to so much of the points of a page; reader comments may well outgrow the article.
+_BELIEVED, _BELIEVED_COMMENTS = 0.5, 0.9
+# So much of the points in named articles outside of what a word names is enough, too.
+_ARTICLE_SHARE = 0.1
+# Points of a container that is named, but not believed to be what its name says.
+_NAMED = 0.5
 _CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
 }
 _FENCE = set("html body div article section main aside nav header footer ul ol dl table td th blockquote form figure".split())
-_WORDS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[a-z]+")
 
 _LINK_SHARE, _LINKS = 0.7, 3
 _SIBLING_SHARE = 0.2
 
 
+_NOTHING: frozenset[str] = frozenset()
+
+
+def _names(value: str) -> tuple[set[str], bool]:
+    """Words that say what is not the article, and whether a token names the article."""
+    found, article = set(), False
+    for token in value.lower().split():
+        parts = _PARTS.findall(token)
+        if not parts or not _LAYOUT.isdisjoint(parts):
+            continue
+        if parts[-1] not in _NOT_TEXT and not _TEXT.isdisjoint(parts):
+            article = True
+        else:
+            found.update(_NOT_TEXT.intersection((parts[0], parts[-1])))
+    return found, article
+
+
 class _Page(HTMLParser):
     """The element tree as parallel lists, parents before children, and the text in page order."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.words = ["#page"], [-1], [frozenset()]
+        self.tag, self.parent, self.words = ["#page"], [-1], [_NOTHING]
+        self.article, self.hidden = [False], [False]
         self.pieces: list[tuple[int, str | None]] = []
         self.open = [0]
 
@@ -77,15 +109,19 @@ class _Page(HTMLParser):
             self._close({"p"}, _FENCE)
         if tag in _CLOSED_BY:
             self._close(_CLOSED_BY[tag], _FENCE - {"td", "th"} if tag in ("tr", "td", "th", "tbody") else _FENCE)
-        words = set()
+        words, article, hidden = {"form"} if tag == "form" else set(), tag in ("article", "main"), False
         for name, value in attrs:
             if name in ("class", "id", "role") and value:
-                words.update(_WORDS.findall(value.lower()))
+                found, named = _names(value)
+                words |= found
+                article |= named
             elif name in ("hidden", "aria-modal"):
-                words.add("hidden")
+                hidden = True
         self.tag.append(tag)
         self.parent.append(self.open[-1])
-        self.words.append(frozenset(words))
+        self.words.append(frozenset(words) if words and tag not in _KEPT_ROOTS else _NOTHING)
+        self.article.append(article)
+        self.hidden.append(hidden and tag not in _KEPT_ROOTS)
         node = len(self.tag) - 1
         if tag in _BLOCK or tag == "br":
             self.pieces.append((node, None))
@@ -118,8 +154,7 @@ def main_text(html: str) -> str:
     block = [0] * n  # nearest block element, itself included
     for i in range(1, n):
         p = parent[i]
-        named = bool(words[i] & _NOT_TEXT) and tag[i] not in _KEPT_ROOTS and not (tag[i] == "article" and words[i] & _TEXT)
-        gone[i] = gone[p] or tag[i] in _NEVER or named
+        gone[i] = gone[p] or tag[i] in _NEVER or page.hidden[i]
         link[i] = link[p] or tag[i] == "a"
         block[i] = i if tag[i] in _BLOCK else block[p]
 
@@ -129,6 +164,40 @@ def main_text(html: str) -> str:
             own[block[i]] += size
             own_link[block[i]] += size * link[i]
             commas[block[i]] += text.count(",") + text.count("、") + text.count("，")
+    points = [
+        (min(own[i] / 25, 1) + commas[i] + min(own[i] / 100, 3)) * (1 - own_link[i] / own[i]) if own[i] else 0.0
+        for i in range(n)
+    ]
+
+    # What a word names on the page, nested elements counted once.
+    within = points[:]
+    for i in range(n - 1, 0, -1):
+        within[parent[i]] += within[i]
+    most_of = {word: (_BELIEVED_COMMENTS if word in _COMMENTS else _BELIEVED) * within[0] for names in words for word in names}
+    held = dict.fromkeys(most_of, 0.0)
+    around, counted = [_NOTHING] * n, [_NOTHING] * n  # words on the way here; those whose points were added up
+    in_article, told = page.article[:], {}  # points in named articles by the words around them
+    for i in range(1, n):
+        p = parent[i]
+        around[i], counted[i] = around[p] | words[i] if words[i] else around[p], counted[p]
+        if words[i]:
+            small_ones = {w for w in words[i] - counted[p] if within[i] <= most_of[w]}
+            for word in small_ones:
+                held[word] += within[i]
+            counted[i] = counted[p] | small_ones
+        in_article[i] = in_article[i] or in_article[p]
+        if in_article[i] and points[i]:
+            told[around[i]] = told.get(around[i], 0.0) + points[i]
+    stated = {w for w in held if sum(p for names, p in told.items() if w not in names) >= _ARTICLE_SHARE * within[0]}
+    believed = {w for w, share in held.items() if share <= most_of[w]}
+    for i in range(1, n):
+        gone[i] = gone[i] or gone[parent[i]] or any(
+            w in stated or w in believed and within[i] <= most_of[w] for w in words[i]
+        )
+        if gone[i]:
+            own[i] = own_link[i] = 0
+            points[i] = 0.0
+
     size, size_link, links = own[:], own_link[:], [0] * n
     for i in range(n - 1, 0, -1):
         links[i] += tag[i] == "a" and not gone[i]
@@ -144,24 +213,19 @@ def main_text(html: str) -> str:
         )
         gone[i] = gone[i] or gone[parent[i]] or menu
 
-    score = [0.0] * n
-    for i in range(n):
-        if own[i] and not gone[i]:
-            points = (min(own[i] / 25, 1) + commas[i] + min(own[i] / 100, 3)) * (1 - own_link[i] / own[i])
-            # A container with text of its own keeps its points; a paragraph gives them away.
-            up, level = (i if tag[i] in _CONTAINER else parent[i]), 1
-            while up >= 0:
-                if tag[up] in _CONTAINER:
-                    score[up] += points / level
-                    level = level + 1 if level < 2 else level * 2
-                    if level > 64:
-                        break
-                up = parent[up]
+    # A container with text of its own keeps its points; a paragraph gives them away.
+    score, passed = [0.0] * n, [0.0 if gone[i] else points[i] for i in range(n)]
+    for i in range(n - 1, -1, -1):
+        if tag[i] in _CONTAINER:
+            score[i] = passed[i]
+        if i:
+            passed[parent[i]] += passed[i] / 2 if tag[i] in _CONTAINER else passed[i]
     best, most = -1, 0.0
     for i in range(n):
         if score[i] > 0 and not gone[i]:
             value = score[i] * (1 - size_link[i] / size[i] if size[i] else 0)
-            value *= 2 if tag[i] in ("article", "main") or words[i] & _TEXT and tag[i] not in _KEPT_ROOTS else 1
+            value *= 2 if page.article[i] and (tag[i] not in _KEPT_ROOTS or tag[i] == "main") else 1
+            value *= _NAMED if words[i] else 1
             score[i] = value
             if value > most:
                 best, most = i, value

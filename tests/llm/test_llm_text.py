@@ -417,6 +417,40 @@ def test_pages(page, text):
     assert html.main_text(page) == text
 
 
+WRAPPERS = [
+    '<div class="content has-sidebar">{}</div>', '<div id="post-with-comments">{}</div>', '<section class="share-enabled">{}</section>',
+    '<div class="post-content share-enabled">{}</div>', '<div class="layout-no-sidebar"><main>{}</main></div>',
+    '<div class="widget">{}</div>', '<div class="hidden">{}</div>', '<div role="alert">{}</div>', '<div id="banner">{}</div>',
+    '<form action="/page">{}</form>', '<form><div class="modal">{}</div></form>', '<div class="promo"><article>{}</article></div>',
+    '<body class="header-fixed sidebar">{}</body>', '<table><tr><td class="menu-off">{}</td></tr></table>',
+    '<div class="related"><div class="share">{}</div></div>', '<article class="comment">{}</article>',
+    "<div>" * 90 + "{}" + "</div>" * 90,
+]
+AROUND = [
+    '<div class="sidebar"><p>Follow us, friends.</p></div>', '<div class="cookie-banner">We use cookies, as all do.</div>',
+    '<div class="site-footer">All rights reserved.</div>', '<form><label>Name, please</label>Leave your mail, now.</form>',
+    '<div class="entry-comments"><p>First, as ever!</p></div>', '<div id="related-posts"><p>See also, perhaps.</p></div>', "",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("around", AROUND)
+def test_names_do_not_decide_against_the_points(wrapper, around):
+    story = [f"Part {k} of the story, long and plain, told once more, runs on for a good while without an end in sight." for k in range(6)]
+    inside = wrapper.format("".join(f"<p>{s}</p>" for s in story))
+    for page in (inside + around, around + inside):
+        assert html.main_text(page) == " ".join(story)
+
+
+def test_paragraphs_in_widgets_and_long_comments():
+    story = [f"Part {k} of the story, long and plain, told once more, runs on for a good while without an end in sight." for k in range(6)]
+    widgets = "".join(f'<div class="widget"><p>{s}</p></div>' for s in story)
+    assert html.main_text(f"<body>{widgets}</body>") == " ".join(story)
+    replies = "".join(f'<div class="comment"><p>Reader {k}, who has much to say, says it, at length, again.</p></div>' for k in range(20))
+    article = "".join(f"<p>{s}</p>" for s in story)
+    assert html.main_text(f'<article>{article}<div class="comments">{replies}</div></article>') == " ".join(story)
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (None, None, "<p>x, y"), (2, "u", ""), (2, "u", ""), (3, "v", "<p>" + "long text, " * 50_000)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
