@@ -1,13 +1,17 @@
 """Document fingerprints that survive edits: digests of improbable byte windows.
 
-Every 64-byte window of a text has an entropy class. The classes are ranked by how rarely they
-occur in the whole corpus. Of each 64 neighbouring windows the rarest is chosen, and windows
-chosen often enough become features. Their hashes go into a chain of Bloom filters of 2048
+Every 16-byte window of a text has an entropy class. The classes are ranked by how rarely they
+occur in the whole corpus. Of each 16 neighbouring windows the rarest becomes a feature; of equally rare
+ones a hash of the bytes decides. Their hashes go into a chain of Bloom filters of 2048
 bits with at most 160 features each. Two digests are compared by the overlap of their
 filters, less what chance explains.
 
+One rule holds for texts of every length: neighbourhoods are cut off at both ends of a text, so that a choice
+depends on the bytes around it alone, and parts that two texts share give the same features.
+
 Scale. The class counts are one bounded array a task. Entropies are sums of whole numbers taken
-along the text, so a window's class depends on its bytes alone. Everything else is per text.
+along the text, so a window's class depends on its bytes alone. Everything else is per text, in
+memory that follows the longest text.
 """
 
 from __future__ import annotations
@@ -23,21 +27,17 @@ from pyspark.sql import functions as F
 from panelforge.llm.neighbours import followed, in_slices
 from panelforge.llm.words import blocks, flat, mix, sliding_min
 
-WINDOW = 64
+WINDOW = 16
+NEIGHBOURS = 16
 CLASSES = 1001
-# Windows of fewer than so many thousandths of the greatest entropy say too little.
+# Windows of fewer than so many thousandths of the greatest entropy say little and are ranked last.
 LEAST_CLASS = 100
-POPULAR = 16
 FILTER_BITS = 2048
 FILTER_FEATURES = 160
 HASHES = 5
 # Overlap counts from so much of the way between chance and complete.
 CUTOFF = 0.3
 
-# Texts of fewer code points are described by their short windows instead.
-SHORT_TEXT = 400
-SHORT_WINDOW = 16
-
 _BLOCK = 256 << 10
 _STRIP = 32 << 10
 _SCALE = 4096
@@ -45,11 +45,13 @@ _counts = np.arange(WINDOW + 1, dtype=np.float64)
 _terms = np.round(_SCALE * _counts * np.log2(np.maximum(_counts, 1))).astype(np.int64)
 _GAIN = np.diff(_terms).astype(np.int32)
 _TOP = int(_terms[WINDOW])
-_POWERS = mix(np.arange(1, WINDOW + 1).astype(np.uint64)) | np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+# Zero bytes around each text, so that neighbouring texts of a block do not meet.
+_BEFORE, _AFTER, _LEAST = NEIGHBOURS - 1, NEIGHBOURS - 1, 2 * NEIGHBOURS + WINDOW - 2
 
 
 def _same_nearby(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How often each byte occurs among the 63 before it and the 63 after it."""
+    """How often each byte occurs among the 15 before it and the 15 after it."""
     n, reach = len(data), WINDOW - 1
     before, after = np.empty(n, np.uint8), np.empty(n, np.uint8)
     for lo in range(0, n, _STRIP):
@@ -101,11 +103,10 @@ def class_counts(docs: DataFrame) -> np.ndarray:
 
 
 def rarity(counts: np.ndarray) -> np.ndarray:
-    """Rank of each entropy class, rarest first; classes too poor to tell texts apart have none."""
-    order = np.lexsort((np.arange(CLASSES), counts))
+    """Rank of each entropy class, rarest first; classes too poor to tell texts apart come last."""
+    order = np.lexsort((np.arange(CLASSES), counts, np.arange(CLASSES) < LEAST_CLASS))
     ranks = np.empty(CLASSES, np.int64)
     ranks[order] = np.arange(CLASSES)
-    ranks[:LEAST_CLASS] = CLASSES
     return ranks
 
 
@@ -119,59 +120,59 @@ def _inside(offsets: np.ndarray, n: int, width: int) -> np.ndarray:
     return np.cumsum(edge[:n], dtype=np.int8).view(bool)
 
 
-def _window_codes(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-    code = np.zeros(len(at), np.uint64)
-    for k in range(width):
-        code += (data[at + k].astype(np.uint64) + np.uint64(1)) * _POWERS[k]
-    return mix(code)
-
-
-def _features(data: np.ndarray, offsets: np.ndarray, short: np.ndarray, ranks: np.ndarray):
-    """Row and hash of the features of a block of texts, in order."""
-    classes = entropy_classes(data)
-    n = len(classes)
-    shift, kind = (22, np.uint32) if n <= 1 << 22 else (32, np.uint64)
-    key = (ranks.astype(kind) << kind(shift))[classes]
-    key |= np.arange(n, dtype=kind)
-    least = sliding_min(key, WINDOW)
-    least = least[_inside(offsets, len(least), 2 * WINDOW - 1)]
-    # The chosen place moves forward along the text, so votes for one place follow each other.
-    new = np.flatnonzero(np.append(True, least[1:] != least[:-1])) if len(least) else np.zeros(0, int)
-    votes = np.diff(np.append(new, len(least)))
-    best = least[new[votes >= POPULAR]]
-    at = (best[best >> kind(shift) < CLASSES] & kind((1 << shift) - 1)).astype(np.int64)
-    row = np.searchsorted(offsets, at, "right") - 1
-    long = ~short[row]
-    at, row = at[long], row[long]
-    code = _window_codes(data, at, WINDOW)
-    # Short texts, and those without a popular window, are described by short windows.
-    bare = np.ones(len(short), bool)
-    bare[row] = False
-    more_at = np.flatnonzero(_inside(offsets, max(len(data) - SHORT_WINDOW + 1, 0), SHORT_WINDOW))
-    more_row = np.searchsorted(offsets, more_at, "right") - 1
-    more_at, more_row = more_at[bare[more_row]], more_row[bare[more_row]]
-    more = _window_codes(data, more_at, SHORT_WINDOW)
-    tiny = np.flatnonzero(bare & (np.diff(offsets) > 0) & (np.diff(offsets) < SHORT_WINDOW))
-    whole = [
-        int.from_bytes(hashlib.blake2b(data[offsets[r] : offsets[r + 1]].tobytes(), digest_size=8).digest(), "little")
-        for r in tiny
-    ]
-    rows = np.concatenate([row, more_row, tiny])
-    order = np.argsort(rows, kind="stable")
-    return rows[order], np.concatenate([code, more, np.array(whole, np.uint64)])[order]
+def _window_codes(data: np.ndarray) -> np.ndarray:
+    """A polynomial in the bytes of each window, by doubling."""
+    code, width, base = data.astype(np.uint64) + np.uint64(1), 1, _BASE
+    while width < WINDOW:
+        code = code[:-width] * np.uint64(base) + code[width:]
+        width, base = 2 * width, base * base % (1 << 64)
+    return code
+
+
+def _padded(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The texts with zero bytes around each of them, and where each begins."""
+    parts = [b"\0" * _BEFORE + r + b"\0" * max(_AFTER, _LEAST - _BEFORE - len(r)) if r else b"" for r in raw]
+    offsets = np.zeros(len(parts) + 1, np.int64)
+    np.cumsum([len(p) for p in parts], out=offsets[1:])
+    return np.frombuffer(b"".join(parts), np.uint8), offsets
+
+
+def _features(data: np.ndarray, offsets: np.ndarray, sizes: np.ndarray, ranks: np.ndarray):
+    """Row and hash of the features of a block of padded texts, in order, each once a text."""
+    code, some = _window_codes(data), np.flatnonzero(sizes)
+    n = len(code)
+    # A text under WINDOW bytes has one window, which ends in zeros.
+    edge = np.zeros(n + 1, np.int8)
+    edge[offsets[some] + _BEFORE] = 1
+    edge[offsets[some] + _BEFORE + np.maximum(sizes[some] - WINDOW + 1, 1)] = -1
+    none = np.cumsum(edge[:n], dtype=np.int8) == 0
+    # Rank of the class, 20 bits of the window's hash, place.
+    key = ranks.astype(np.uint64)[entropy_classes(data)] << np.uint64(52)
+    key |= mix(code) >> np.uint64(44) << np.uint64(32)
+    key |= np.arange(n, dtype=np.uint64)
+    key[none] = ~np.uint64(0)
+    least = sliding_min(key, NEIGHBOURS)
+    least = least[least != ~np.uint64(0)]
+    at = np.unique(least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    row, code = np.searchsorted(offsets, at, "right") - 1, mix(code[at])
+    order = np.lexsort((code, row))
+    r, c = row[order], code[order]
+    first = np.sort(order[np.append(True, (r[1:] != r[:-1]) | (c[1:] != c[:-1]))]) if len(order) else order
+    return row[first], code[first]
 
 
 def digests(texts: list[str], ranks: np.ndarray) -> list[np.ndarray]:
     """The chain of Bloom filters of each text, one row of bytes a filter; none if empty."""
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    offsets = np.zeros(len(raw) + 1, np.int64)
-    np.cumsum([len(r) for r in raw], out=offsets[1:])
-    short = np.array([len(t) < SHORT_TEXT for t in texts], bool)
+    sizes = np.array([len(r) for r in raw], np.int64)
+    data, offsets = _padded(raw)
     out: list[np.ndarray] = []
     for i, j in blocks(offsets, _BLOCK):
         at = offsets[i : j + 1] - offsets[i]
-        row, code = _features(data[offsets[i] : offsets[j]], at, short[i:j], ranks)
+        if not at[-1]:
+            out += [np.zeros((0, FILTER_BITS // 8), np.uint8)] * (j - i)
+            continue
+        row, code = _features(data[offsets[i] : offsets[j]], at, sizes[i:j], ranks)
         count = np.bincount(row, minlength=j - i)
         chain = -(-count // FILTER_FEATURES)
         base = np.cumsum(chain) - chain
@@ -232,8 +233,8 @@ def fingerprint_edits(docs: DataFrame, slices: int | None = None) -> DataFrame:
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     Null text counts as empty; an empty text has the empty fingerprint, which is like itself
-    alone. Texts under 400 code points, or without a popular window, have all their 16-byte windows as
-    features, and texts under 16 bytes the whole text. Rows with equal doc_id follow each other by the hash of their texts, rows without
+    alone. A text under 16 bytes is one window, filled up with zero bytes. Texts of any length are fingerprinted
+    whole, by the same rule. Rows with equal doc_id follow each other by the hash of their texts, rows without
     doc_id come last. A table of one row is its own next. Other columns are not looked at.
     """
     ranks = rarity(class_counts(docs))

@@ -24,8 +24,8 @@ def in_slices(docs: DataFrame, slices: int | None = None) -> DataFrame:
     ends the slice: a copy of the first row of the next one, or after the last slice of the first.
 
     The cuts are quantiles of doc_id: one number a slice reaches the driver, and one text a
-    slice is sent twice. Rows are equal in number per slice unless one doc_id holds a slice of
-    rows by itself.
+    slice is sent twice. A doc_id (or the rows without one) that holds several quantiles is cut further by the
+    hash of the text, so slices are equal in number unless rows agree in both.
     """
     spark = docs.sparkSession
     slices = slices or 4 * partitions(spark)
@@ -35,14 +35,22 @@ def in_slices(docs: DataFrame, slices: int | None = None) -> DataFrame:
         "text",
     )
     shares = [i / slices for i in range(1, slices)] or [0.5]
-    cuts = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), shares, 10 * slices)).first()[0]
-    edges = np.unique(np.array(cuts or [], np.int64))
+    cuts = rows.agg(F.percentile_approx("_order", shares, 10 * slices)).first()[0]
+    edges, parts = np.unique(np.array(cuts or [], np.int64), return_counts=True)
+    # Slices before those that begin at edge r - 1; the last one lies below all edges.
+    before = np.append(np.cumsum(parts[::-1])[::-1], 0)
 
     @F.pandas_udf("int")
-    def slice_of(order: pd.Series) -> pd.Series:
-        return pd.Series(len(edges) - np.searchsorted(edges, order.to_numpy(), "right"))
+    def slice_of(order: pd.Series, key: pd.Series) -> pd.Series:
+        order, key = order.to_numpy(), key.to_numpy()
+        r = np.searchsorted(edges, order, "right")
+        at = np.maximum(r - 1, 0)
+        hot = (r > 0) & (edges[at] == order) if len(edges) else np.zeros(len(order), bool)
+        # Keys have 32 bits.
+        part = key * parts[at] >> 32 if len(edges) else 0
+        return pd.Series(before[r] + np.where(hot, part, 0))
 
-    rows = rows.withColumn("_slice", slice_of("_order"))
+    rows = rows.withColumn("_slice", slice_of("_order", "_key"))
     # First row of each slice: the largest doc_id, then the smallest key.
     heads = (
         rows.groupBy("_slice")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -300,9 +301,102 @@ def test_entropy_is_that_of_each_window():
     data = np.frombuffer(prose(random.Random(7), 9000).encode() + b"a" * 200, np.uint8)
     got = fingerprints.entropy_classes(data)
     for i in [*range(0, len(got), 997), len(got) - 1]:
-        total = sum(int(fingerprints._terms[n]) for n in Counter(data[i : i + 64].tolist()).values())
+        total = sum(int(fingerprints._terms[n]) for n in Counter(data[i : i + 16].tolist()).values())
         assert got[i] == 1000 - total * 1000 // fingerprints._TOP
-    assert got[-1] == 0 and len(fingerprints.entropy_classes(data[:63])) == 0
+    assert got[-1] == 0 and len(fingerprints.entropy_classes(data[:15])) == 0
+
+
+def plain_digest(text, ranks):
+    """Filters as sets of bits, straight from the description."""
+
+    def spread(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % 2**64
+        return x ^ x >> 31
+
+    raw = text.encode()
+    windows = [raw[i : i + 16] for i in range(max(len(raw) - 15, 1))] if raw else []
+    terms = [round(4096 * k * math.log2(k)) if k else 0 for k in range(17)]
+    weighed = []
+    for at, w in enumerate(windows):
+        w = w.ljust(16, b"\0")
+        code = 0
+        for byte in w:
+            code = (code * 0x9E3779B97F4A7C15 + byte + 1) % 2**64
+        level = 1000 - sum(terms[k] for k in Counter(w).values()) * 1000 // terms[16]
+        weighed.append((ranks[level], spread(code) >> 44, at, spread(code)))
+    chosen = {min(weighed[max(s, 0) : s + 16])[2] for s in range(-15, len(weighed))}
+    codes = list(dict.fromkeys(weighed[at][3] for at in sorted(chosen)))
+    return [
+        {code >> 11 * k & 2047 for code in codes[lo : lo + 160] for k in range(5)} for lo in range(0, len(codes), 160)
+    ]
+
+
+def plain_likeness(a, b):
+    if not a or not b or a == b:
+        return float(a == b)
+    if len(a) > len(b):
+        a, b = b, a
+
+    def score(x, y):
+        least, chance = min(len(x), len(y)), len(x) * len(y) / 2048
+        floor = chance + 0.3 * (least - chance)
+        return min(max((len(x & y) - floor) / max(least - floor, 1e-6), 0), 1)
+
+    def found(of, others):
+        return sum(max(score(x, y) for y in others) * len(x) for x in of) / sum(map(len, of))
+
+    return (found(a, b) + found(b, a)) / 2 if len(a) == len(b) else found(a, b)
+
+
+def bits_of(filters):
+    return [set(np.flatnonzero(np.unpackbits(f)).tolist()) for f in filters]
+
+
+def test_fingerprints_equal_plain_ones(spark):
+    """Classes, choice, filters and likeness of the query against the plain version above."""
+    docs = spark.read.parquet(f"{TINY}/documents.parquet")
+    rows = {r["doc_id"]: r for r in QUERIES["op10_document_fingerprints"](spark, TINY).collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    terms, counts = [round(4096 * k * math.log2(k)) if k else 0 for k in range(17)], Counter()
+    for text in texts.values():
+        raw = text.encode()
+        for i in range(len(raw) - 15):
+            counts[1000 - sum(terms[k] for k in Counter(raw[i : i + 16]).values()) * 1000 // terms[16]] += 1
+    ranks = {c: n for n, c in enumerate(sorted(range(1001), key=lambda c: (c < 100, counts[c], c)))}
+    ids = sorted(texts, reverse=True)
+    prints = {i: plain_digest(texts[i], ranks) for i in ids}
+    for i, j in zip(ids, ids[1:] + ids[:1]):
+        cut = len(texts[i]) // 3
+        other = plain_digest(texts[i][: len(texts[i]) - cut] + texts[j][:cut], ranks)
+        assert bits_of(fingerprints.from_text(rows[i]["fingerprint"])) == prints[i]
+        assert bits_of(fingerprints.from_text(rows[i]["edited_fingerprint"])) == other
+        assert rows[i]["near_edited"] == pytest.approx(plain_likeness(prints[i], other), abs=2e-6)
+        assert rows[i]["near_next"] == pytest.approx(plain_likeness(prints[i], prints[j]), abs=2e-6)
+
+
+@pytest.mark.parametrize("follower", [5, 40, 130, 300, 5000])
+def test_likeness_does_not_jump_with_the_length(follower):
+    """An edit keeps two thirds of a text; whatever its length and that of the next text, it stays alike."""
+    rng = random.Random(11)
+    ranks = fingerprints.rarity(np.arange(fingerprints.CLASSES)[::-1])
+    story, other = prose(rng, 20_000), prose(rng, follower + 400)[:follower]
+    lengths = [*range(120, 1500, 9), *range(395, 406)]
+    near = []
+    for n in lengths:
+        a, b, c = fingerprints.digests([story[:n], fingerprints.edited(story[:n], other), other], ranks)
+        near.append(fingerprints.likeness(a, b))
+        assert near[-1] > 0.2
+    assert np.mean(near) > 0.4
+    assert max(abs(x - y) for x, y in zip(near[-11:], near[-10:])) < 0.25
+
+
+def test_slices_of_one_hot_id(spark):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i}") for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = neighbours.in_slices(frame, 30).where("not _guest").groupBy("_slice").count().collect()
+    assert sum(r["count"] for r in got) == 3000
+    assert max(r["count"] for r in got) < 500
 
 
 def test_digests_do_not_depend_on_their_neighbours():
