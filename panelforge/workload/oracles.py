@@ -528,3 +528,9 @@ SELECT 'bootstrap' AS mode, count(*) FILTER (kind = 'file') AS downloaded,
 FROM tree
 UNION ALL SELECT 'no_applicable_changes', 0, 0""",
 }
+
+# Kept up month by month, the rows are those of a full build.
+ORACLES["monthly_metrics"] = ORACLES["state_month_avg"]
+ORACLES["merged_monthly_turnover"] = f"""WITH {PANEL}
+SELECT MONTH, {r6("avg(TOTAL_TURNOVER)")} AS TOTAL_NURSING_STAFF_TURNOVER, {r6("avg(RN_TURNOVER)")} AS REGISTERED_NURSE_TURNOVER
+FROM recent GROUP BY MONTH"""

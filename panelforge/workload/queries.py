@@ -54,7 +54,8 @@ from panelforge.plans import dashboard, metrics
 from panelforge.plans.mirror import bootstrap_steps, mirror
 from panelforge.runtime import freeze, scratch_path
 from panelforge.sources.gold import load_dashboard, read_gold
-from panelforge.sources.silver import SilverTable
+from panelforge.sources.monthly import TURNOVER_SUMS, MonthlyMetrics, merged_turnover
+from panelforge.sources.silver import RAW, SilverTable
 from panelforge.sources.snapshots import build_silver, list_snapshots, read_silver, rejected_rows, write_silver
 from panelforge.sources.state import (
     StateStore,
@@ -685,6 +686,40 @@ def removed_release(spark, sf):
     return read_silver(spark, target).select(*_RELEASE_COLUMNS)
 
 
+def _kept_up(spark, sf):
+    """Metrics by month after two versions of silver: one month is restated, one comes and one goes."""
+    silver = SilverTable(spark, scratch_path(spark, "silver"))
+    kept = MonthlyMetrics(spark, scratch_path(spark, "gold"))
+    rows = t.facility_silver(spark, sf).withColumns(
+        {"SOURCE_FILE_NAME": F.date_format("SNAPSHOT_DATE", "yyyy-MM"), RAW: F.lit(None).cast("string")}
+    )
+    month, latest = F.col("SNAPSHOT_DATE"), _latest(spark, sf)
+    restated, late = F.add_months(F.lit(latest), -2), F.lit(latest)
+    extra = rows.where(month == restated).withColumn("SNAPSHOT_DATE", F.add_months(F.lit(latest), 1))
+    first = rows.where((month != late) & ((month != restated) | (F.col("CCN").cast("long") % 3 > 0)))
+    silver.replace_all(first.unionByName(extra))
+    kept.refresh(silver)
+    before = silver.version()
+    gone = [str(spark.range(1).select(F.add_months(F.lit(latest), k)).first()[0]) for k in (1, -2)]
+    silver.commit(before, rows.where((month == restated) | (month == late)), before.schema, gone, None)
+    kept.refresh(silver)
+    return kept
+
+
+def monthly_metrics(spark, sf):
+    """Nurse turnover of the lookback months from tables that were kept up by touched months."""
+    return rounded(
+        _kept_up(spark, sf).read("05_nurse_turnover_trends"), TOTAL_TURNOVER, RN_TURNOVER,
+        f"STATE_AVG_{TOTAL_TURNOVER}", f"STATE_AVG_{RN_TURNOVER}",
+    )
+
+
+def merged_monthly_turnover(spark, sf):
+    """Means by month merged from the kept-up sums of states."""
+    sums = _kept_up(spark, sf).read(TURNOVER_SUMS)
+    return rounded(merged_turnover(sums, ["MONTH"]), TOTAL_TURNOVER, RN_TURNOVER)
+
+
 def _misfits(spark, sf):
     folder, target = (scratch_path(spark, label) for label in ("bronze", "silver"))
     t.land_misfits(spark, table(spark, sf, "orders"), folder)
@@ -745,5 +780,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         manifest_plan, cleanup_plan, mirror_actions, mirror_swaps, mirror_counts, tree_paths_walk, crawl_summary,
         bootstrap_plan, duplicate_keys, manifest_state, mirror_runs, mirror_incremental, incremental_stream,
         late_release, restated_release, removed_release, rejected_records, release_ledger, measure_silver_build,
+        monthly_metrics, merged_monthly_turnover,
     )
 }
