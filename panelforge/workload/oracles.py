@@ -529,6 +529,9 @@ FROM tree
 UNION ALL SELECT 'no_applicable_changes', 0, 0""",
 }
 
+ORACLES["feed_replay"] = """
+SELECT DISTINCT 'f' || o_orderkey AS "fileId", o_orderstatus = 'F' AS removed, strftime(o_orderdate, '%Y-%m-%d') AS time
+FROM orders"""
 # Kept up month by month, the rows are those of a full build.
 ORACLES["monthly_metrics"] = ORACLES["state_month_avg"]
 ORACLES["merged_monthly_turnover"] = f"""WITH {PANEL}

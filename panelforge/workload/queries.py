@@ -62,6 +62,8 @@ from panelforge.sources.state import (
     read_manifest_json,
     write_manifest_json,
 )
+from panelforge.schemas import columns
+from panelforge.streaming.feed import change_records
 from panelforge.streaming.snapshots import refresh_silver, snapshot_stream
 from panelforge.workload import tables as t
 from panelforge.workload.tables import table
@@ -686,6 +688,24 @@ def removed_release(spark, sf):
     return read_silver(spark, target).select(*_RELEASE_COLUMNS)
 
 
+def feed_replay(spark, sf):
+    """Change records that are delivered twice in a file, in the next batch, and after a restart, each acted on once."""
+    folder, checkpoint, acted = (scratch_path(spark, label) for label in ("feed", "checkpoint", "acted"))
+    records = table(spark, sf, "orders").select(
+        F.concat(F.lit("f"), "o_orderkey").alias("fileId"),
+        (F.col("o_orderstatus") == "F").alias("removed"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("time"),
+    )
+    some = records.where(F.substring("fileId", -1, 1) < "4")
+    for delivered in (some.unionByName(some), some, records):
+        delivered.write.mode("append").json(folder)
+        stream = change_records(spark, folder).writeStream.foreachBatch(
+            lambda batch, _: batch.write.mode("append").parquet(acted)
+        )
+        stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(columns("fileId string, removed boolean, time string")).parquet(acted)
+
+
 def _kept_up(spark, sf):
     """Metrics by month after two versions of silver: one month is restated, one comes and one goes."""
     silver = SilverTable(spark, scratch_path(spark, "silver"))
@@ -780,6 +800,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         manifest_plan, cleanup_plan, mirror_actions, mirror_swaps, mirror_counts, tree_paths_walk, crawl_summary,
         bootstrap_plan, duplicate_keys, manifest_state, mirror_runs, mirror_incremental, incremental_stream,
         late_release, restated_release, removed_release, rejected_records, release_ledger, measure_silver_build,
-        monthly_metrics, merged_monthly_turnover,
+        monthly_metrics, merged_monthly_turnover, feed_replay,
     )
 }
