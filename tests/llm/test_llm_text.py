@@ -200,6 +200,39 @@ def test_equal_hashes_of_windows_are_settled_by_bytes(spark):
     assert sorted(map(str, lines.repeated_windows(frame, bits=3).collect())) == sorted(map(str, rare.collect()))
 
 
+@pytest.mark.parametrize("bits", [64, 3])
+def test_long_passages_go_as_chunks_and_windows_take_the_rest(spark, bits):
+    """Long passages, shifted and edited, with blank lines, repeated within a text, and exact copies."""
+    rng = random.Random(13)
+    passages = [[rng.choice(["", prose(rng, 4), prose(rng, 6)]) for _ in range(n)] for n in (25, 40, 60)]
+    rows = []
+    for i in range(40):
+        text = [prose(rng, 5) for _ in range(rng.randint(0, 9))]
+        for _ in range(rng.randint(0, 2)):
+            x = list(rng.choice(passages))
+            x[rng.randrange(len(x))] = prose(rng, 3)
+            text += x[rng.randint(0, 5) :] + [prose(rng, 5)]
+        rows.append((i, "\n".join(text)))
+    rows += [(40 + n, rows[n][1]) for n in range(0, 40, 4)] + [(90, "\n".join(["a", "b", "c"] * 30)), (91, "\n".join(["run"] * 70))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    def gone(drops):
+        texts, out = dict(rows), set()
+        for r in drops.collect():
+            left = texts[r.doc_id].split("\n")
+            for a, z in map(lines._lines_of, r["drop"]):
+                filled = [n for n in range(a, z) if left[n].strip()]
+                out |= {(r.doc_id, n) for n in range(max(a, filled[0] - 1), min(z, filled[-1] + 2))}
+        return out
+
+    coarse, every = gone(lines.repeated_chunks(frame, bits=bits)), gone(lines.repeated_windows(frame))
+    # With 3 bits all chunks are candidates, so only the largest are compared; the windows find the rest.
+    assert coarse <= every and (bits == 3 or len(coarse) > len(every) / 2)
+    assert gone(lines.repeated_blocks(frame, bits)) == every
+    left = sum(len(r["drop"]) for r in lines.repeated_windows(frame, 64, lines.repeated_chunks(frame)).collect())
+    assert left < len(every) / 2
+
+
 def test_short_blocks_go_with_the_blanks_inside(spark):
     rows = [(1, "a\nb\nc"), (2, "x\nb\nc\ny"), (3, "p\n\n\n \n\n\nq"), (4, "r\np\n\n\n \n\n\nq\ns"), (5, "p\n\n\n\n\n\nq")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
