@@ -15,7 +15,6 @@ full ranking by range exchange: a length that a third of all items share is spre
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -24,10 +23,11 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelforge.llm.words import give_back, small
+from panelforge.llm.words import blocks, give_back, small
 from panelforge.operators.rank import rank_rows
 from panelforge.runtime import freeze
 
@@ -35,12 +35,14 @@ CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 
-# Entries kept per task process: texts between blanks, and their plain cores.
-_CACHED, _CACHED_CORES = 80_000, 400_000
+# Entries kept per task process: parts between blanks that are not plain, and the pre-tokens of plain ones.
+_CACHED, _CACHED_UNITS = 80_000, 400_000
 _CACHED_LENGTH = 64
+# Text bytes worked on at once, and pre-tokens encoded in one call.
+_BLOCK, _JOINED = 4 << 20, 256
 
-# Latin letters with ASCII punctuation but no apostrophe behind them: two pre-tokens, encoded one by one.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+# Latin letters with ASCII punctuation but no apostrophe behind them: one pre-token each, encoded apart.
+_PLAIN = "^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-&(-/:-@\\[-`{-~]*)$"
 
 
 def vocabulary_path() -> str:
@@ -58,7 +60,9 @@ class _Kept(dict):
         self.make, self.size, self.missed = make, size, 0
 
     def __missing__(self, part: str) -> bytes:
-        out = self.make(part)
+        return self._keep(part, self.make(part))
+
+    def _keep(self, part: str, out: bytes) -> bytes:
         if len(self) < self.size:
             if len(part) <= _CACHED_LENGTH:
                 self[part] = out
@@ -69,34 +73,79 @@ class _Kept(dict):
                 self.missed = 0
         return out
 
+    def many(self, parts: list[str], make_all) -> list[bytes]:
+        """The entries of different parts; ``make_all`` makes those that are not kept, in order."""
+        out = list(map(self.get, parts))
+        missing = [k for k, known in enumerate(out) if known is None]
+        for k, made in zip(missing, make_all([parts[k] for k in missing])):
+            out[k] = self._keep(parts[k], made)
+        return out
+
+
+def _runs(values: np.ndarray, bounds: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``values`` numbered in ``order``, one after another, and their bounds; run i
+    goes from ``bounds[i]`` to ``bounds[i + 1]``."""
+    lengths = np.diff(bounds)[order]
+    out = np.zeros(len(order) + 1, np.int64)
+    np.cumsum(lengths, out=out[1:])
+    at = np.repeat(bounds[order] - out[:-1], lengths)
+    at += np.arange(len(at))
+    return values[at], out
+
 
 class WordIds:
-    """Token ids of texts, as little-endian 32-bit bytes.
+    """Token ids of texts, as little-endian 32-bit numbers.
 
     This vocabulary's pre-tokens never reach over white space, and white space itself gives no
-    id, so a text's ids are those of its blank-free parts one after another. Common parts are
-    encoded once per process; memory is bounded and long parts are never kept.
+    id, so a text's ids are those of its blank-free parts one after another. Each part is looked
+    up once per block of texts, and its ids are dealt to its places by whole-array operations.
+    Common pre-tokens are encoded once per process, new ones many to a call; memory is bounded
+    and long parts are never kept.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cores = _Kept(self._ids, _CACHED_CORES)
-        self.parts = _Kept(self._part, _CACHED)
+        self.units = _Kept(self._ids, _CACHED_UNITS)
+        self.parts = _Kept(self._ids, _CACHED)
 
     def _ids(self, part: str) -> bytes:
         return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _part(self, part: str) -> bytes:
-        plain = _PLAIN.fullmatch(part)
-        if plain is None:
-            return self._ids(part)
-        core = self.cores[plain[1].lower()]
-        return core + self.cores[plain[2]] if plain[2] else core
+    def _unit_ids(self, units: list[str]) -> Iterator[bytes]:
+        """Ids of texts that are one pre-token each."""
+        for lo in range(0, len(units), _JOINED):
+            some = units[lo : lo + _JOINED]
+            made = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids = np.array(made.ids, "<u4").tobytes()
+            begin = 0
+            for end in (4 * np.cumsum(np.bincount(made.word_ids, minlength=len(some)))).tolist():
+                yield ids[begin:end]
+                begin = end
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and the n + 1 bounds of the texts; null is empty."""
+        cut = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        parts = cut.flatten().dictionary_encode()
+        found = pc.extract_regex(parts.dictionary, _PLAIN)
+        core, tail = (pc.struct_field(found, k) for k in ("core", "tail"))
+        tail = pc.if_else(pc.equal(tail, ""), pa.scalar(None, tail.type), tail)
+        units = pa.concat_arrays([pc.utf8_lower(core), tail]).dictionary_encode()
+        others = parts.dictionary.filter(found.is_null()).to_numpy(zero_copy_only=False).tolist()
+        ids = self.units.many(units.dictionary.to_numpy(zero_copy_only=False).tolist(), self._unit_ids)
+        ids += map(self.parts.__getitem__, others)
+        ids.append(b"")
+        # A plain part is two units, another one is itself; the empty entry at the end stands for what is missing.
+        pairs = units.indices.fill_null(len(ids) - 1).to_numpy().reshape(2, -1).copy()
+        pairs[0, found.is_null().to_numpy(False)] = np.arange(len(others)) + len(units.dictionary)
+        bounds = np.cumsum([0, *map(len, ids)]) // 4
+        values, bounds = _runs(np.frombuffer(b"".join(ids), "<u4"), bounds, pairs.T.ravel())
+        values, bounds = _runs(values, bounds[::2], parts.indices.to_numpy())
+        return values, bounds[np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy(), dtype=np.int64)])]
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.parts.__getitem__, text.replace("\n", " ").split(" ")))
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
 
 
 @cache
@@ -105,6 +154,14 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def _by_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows (doc_id, text) in batches of bounded text; a longer text is a batch of its own."""
+    for batch in small(batches):
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64)
+        for lo, hi in blocks(np.concatenate([[0], np.cumsum(sizes)]), _BLOCK):
+            yield batch.slice(lo, hi - lo)
+
+
 def pieces(
     docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, with_ids: bool = False
 ) -> DataFrame:
@@ -118,17 +175,18 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(path)
-        for batch in small(batches):
+        for batch in _by_bytes(batches):
+            ids, bounds = words.encode_all(batch.column(1))
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = words.encode(text or "") + end
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
+            for doc_id, begin, stop in zip(batch.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                own = ids[begin:stop].tobytes() + end
+                for k, at in enumerate(range(0, len(own), step)):
+                    part = own[at : at + step]
                     rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), part))
             columns = list(zip(*rows)) if rows else [[]] * 6
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays(arrays, names)
-            del rows, columns, arrays
+            del ids, rows, columns, arrays
         give_back()
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]

@@ -340,6 +340,40 @@ def test_word_ids_equal_the_tokenizer():
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == ids, text
 
 
+def test_new_words_are_encoded_many_to_a_call():
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choices("abcdeéö", k=9)) for _ in range(3000)})
+    text = " ".join(rng.choices(words, k=9000)) + "."
+    encoder = packing.WordIds(packing.vocabulary_path())
+    expected, calls = plain_ids([text])[0], []
+
+    class Counting:
+        def encode(self, text, **options):
+            calls.append(text)
+            return whole.encode(text, **options)
+
+    whole, encoder.tokenizer = encoder.tokenizer, Counting()
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == expected
+    assert 0 < len(calls) < 50
+
+
+def test_ids_of_many_texts_equal_the_tokenizer(monkeypatch):
+    for name, value in (("_JOINED", 3), ("_CACHED", 5), ("_CACHED_UNITS", 7), ("_BLOCK", 200)):
+        monkeypatch.setattr(packing, name, value)
+    encoder, rng = packing.WordIds(packing.vocabulary_path()), random.Random(9)
+    letters = "aAbzZÉßÿÀ×÷   's.!-&<|>\n\t\x1c\x85ΣσςİıЖ日1٣😀é́ﬁ'`~"
+    for _ in range(40):
+        texts = ["".join(rng.choices(letters, k=rng.randint(0, 70))) for _ in range(rng.randint(0, 30))]
+        texts += [None, "", "a<|endoftext|>.", "<|ENDOFTEXT|>", None]
+        rng.shuffle(texts)
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["doc_id", "text"])
+        got = []
+        for part in packing._by_bytes([batch, batch.slice(1, 0)]):
+            ids, bounds = encoder.encode_all(part.column(1))
+            got += [ids[a:z].tolist() for a, z in zip(bounds[:-1], bounds[1:])]
+        assert got == plain_ids(texts)
+
+
 def test_packing_gives_every_token_back(spark, odd):
     rows = [(r[0], r[1]) for r in odd_rows()]
     got = packing.pack_pieces(packing.freeze(packing.pieces(odd, 100, with_ids=True)), 100).collect()
